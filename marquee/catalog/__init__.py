@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning"]
+MODULES = ["cleaning", "sources", "joining"]
 
 
 def load_all() -> tuple[dict, dict]:

@@ -102,6 +102,7 @@ OVERRIDE_FACTOR = 2.0
 # --- fixed values: text patterns -------------------------------------------
 
 TOKEN_PATTERN = "[a-z0-9]+"
+LONG_TOKEN_PATTERN = "[a-z0-9]{3,}"
 SYNTHETIC_TITLE_PATTERN = r"^bad movie\s+\d+$"
 NUMERIC_TEXT_PATTERN = r"^(?:\d+\.?\d*|\.\d+)$"
 MONEY_PATTERN = r"(?i)\$[\d,]+(?:\s*million|\s*billion)?"

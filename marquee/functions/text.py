@@ -22,7 +22,8 @@ def words(text: Column) -> Column:
 def tokenize(text: Column, stop_words: list[str] | None = None) -> Column:
     """Distinct tokens longer than two characters, stop words removed."""
     stop = F.array(*[F.lit(w) for w in (stop_words or fixed.STOP_WORDS)])
-    return F.array_except(F.filter(words(text), lambda w: F.length(w) > 2), stop)
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    return F.array_except(F.regexp_extract_all(lowered, F.lit(fixed.LONG_TOKEN_PATTERN), F.lit(0)), stop)
 
 
 def jaccard(left: Column, right: Column) -> Column:
