@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning", "sources", "joining", "analytics", "texts"]
+MODULES = ["cleaning", "sources", "joining", "analytics", "texts", "scoring", "learning"]
 
 
 def load_all() -> tuple[dict, dict]:

@@ -179,10 +179,11 @@ def classification_metrics(spark, sf):
 
 
 def _histogram_sql(column, source, bins):
-    return f"""SELECT '{column}' AS name, CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 6) AS lower,
-      round(lo + (bin + 1) * w, 6) AS upper, count(*) AS count
-    FROM (SELECT lo, w, least(floor(({column} - lo) / w), {bins - 1}) AS bin FROM {source} CROSS JOIN (
-      SELECT min({column}) AS lo, (max({column}) - min({column})) / {bins} AS w FROM {source})) GROUP BY bin, lo, w"""
+    return f"""SELECT '{column}' AS name, CAST(g.bin AS INTEGER) AS bin, round(lo + g.bin * w, 6) AS lower,
+      round(lo + (g.bin + 1) * w, 6) AS upper, count({column}) AS count
+    FROM range({bins}) AS g(bin) CROSS JOIN (
+      SELECT min({column}) AS lo, (max({column}) - min({column})) / {bins} AS w FROM {source})
+    LEFT JOIN {source} ON least(floor(({column} - lo) / w), {bins - 1}) = g.bin GROUP BY g.bin, lo, w"""
 
 
 @query("histogram", ctes="pred", sql=_histogram_sql("youtube_sentiment", "facts", 20) + " UNION ALL "

@@ -199,16 +199,17 @@ def classification_metrics(df: DataFrame, classes: list[str], label: str = "labe
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins from minimum to maximum; the last bin includes the maximum."""
+    """Equal-width bins from minimum to maximum, empty ones included; the last bin holds the maximum."""
     edges = df.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias(
         "e")).scalar()
     value = F.col(column).cast("double")
     width = (edges["hi"] - edges["lo"]) / bins
     number = F.when(width > 0, F.least(F.floor((value - edges["lo"]) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counted = df.filter(value.isNotNull()).groupBy(number.cast("int").alias("bin")).agg(F.count("*").alias("count"))
-    return counted.select(
-        "bin", (edges["lo"] + F.col("bin") * width).alias("lower"), (edges["lo"] + (F.col("bin") + 1) * width).alias(
-            "upper"), "count")
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(counted, "bin", "left").select(
+        "bin", (edges["lo"] + F.col("bin") * width).alias("lower"),
+        (edges["lo"] + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def density_grid(df: DataFrame, column: str, points: int = 50) -> DataFrame:
