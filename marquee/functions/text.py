@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,22 +38,34 @@ def clean_overview(text: Column) -> Column:
     return F.trim(F.lower(F.coalesce(text, F.lit(""))))
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _literals(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
 def cue_hits(text: Column, cues: list[str]) -> Column:
-    """Number of distinct cue phrases the lower-case text contains."""
-    return reduce(lambda a, b: a + b, [F.contains(text, F.lit(cue)).cast("int") for cue in cues])
+    """Number of distinct cue phrases the lower-case text contains.
+
+    One loop over a constant array: a sum of as many ``contains`` calls would
+    grow the generated method past the size the JVM compiles.
+    """
+    return _bind(text, lambda t: F.size(F.filter(_literals(cues), lambda cue: F.contains(t, cue))))
 
 
 def contains_any(text: Column, phrases: list[str], word_boundary: bool = False) -> Column:
     if word_boundary:
         quoted = "|".join("".join("\\" + ch if not ch.isalnum() and ch != " " else ch for ch in p) for p in phrases)
         return text.rlike(rf"\b(?:{quoted})\b")
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in phrases])
+    return _bind(text, lambda t: F.exists(_literals(phrases), lambda phrase: F.contains(t, phrase)))
 
 
 def is_nonsense(overview: Column, budget: Column) -> Column:
-    text = clean_overview(overview)
-    too_short = (word_count(text) < 3) & (budget > 0)
-    return too_short | contains_any(text, fixed.NONSENSE_PHRASES, word_boundary=True)
+    return _bind(clean_overview(overview), lambda t: ((word_count(t) < 3) & (budget > 0)) | contains_any(
+        t, fixed.NONSENSE_PHRASES, word_boundary=True))
 
 
 def is_synthetic_title(title: Column) -> Column:

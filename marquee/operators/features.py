@@ -94,20 +94,21 @@ def sample_weights(df: DataFrame, target: str = "revenue") -> DataFrame:
 
 def impute_median(df: DataFrame, columns: list[str], target: str = "revenue", below: float = 3e9) -> DataFrame:
     """NULL to the column's exact median, infinities to 0, outlier targets dropped."""
-    row = quantiles.medians(df, columns).select(F.struct(*columns).alias("m")).scalar()
-    filled = {c: scalars.finite_or_zero(F.coalesce(F.col(c).cast("double"), row[c])) for c in columns}
-    return df.withColumns(filled).filter(F.col(target) < below)
+    row = quantiles.medians(df, columns).select(F.struct(*columns)).scalar()
+    filled = {c: scalars.finite_or_zero(F.coalesce(F.col(c).cast("double"), F.col("_m")[c])) for c in columns}
+    return df.filter(F.col(target) < below).withColumn("_m", row).withColumns(filled).drop("_m")
 
 
 def standardize(df: DataFrame, columns: list[str], fit_on=None) -> DataFrame:
     """(x - mean) / population deviation; a constant column becomes 0."""
     source = df if fit_on is None else df.filter(fit_on)
     stats = source.agg(F.struct(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns]).alias("s")).scalar()
+        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns])).scalar()
+    fit = {c: F.col("_s")[c] for c in columns}
     scaled = {
-        c: F.when(stats[c]["std"] > 0, (F.col(c) - stats[c]["mean"]) / stats[c]["std"]).otherwise(F.lit(0.0))
+        c: F.when(fit[c]["std"] > 0, (F.col(c) - fit[c]["mean"]) / fit[c]["std"]).otherwise(F.lit(0.0))
         for c in columns}
-    return df.withColumns(scaled)
+    return df.withColumn("_s", stats).withColumns(scaled).drop("_s")
 
 
 def align_record(df: DataFrame) -> DataFrame:

@@ -83,14 +83,14 @@ def describe_positive(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of the positive values."""
     positive = df.filter(F.col(column) > 0)
     spread = quantiles.column_quantiles(positive, [column], [0.25, 0.5, 0.75])
+    names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
     quartiles = spread.agg(F.struct(*[
-        F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
-        for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]).alias("q")).scalar()
+        F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name) for p, name in names.items()])).scalar()
     value = F.col(column)
     return positive.agg(
         F.count("*").alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
-    ).withColumns({name: quartiles[name] for name in ("q25", "q50", "q75")})
+    ).withColumn("_q", quartiles).select("count", "mean", "std", "min", "max", "_q.*")
 
 
 def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -152,9 +152,10 @@ def rank_split_error(df: DataFrame, first: int = 100, key: str = "movie_id") ->
     global numbering of the rows is needed.
     """
     error = F.col("error_percentage")
-    top = df.orderBy(F.desc("actual"), key).limit(first).agg(
-        F.struct(F.count("*").alias("n"), F.sum(error).alias("s")).alias("t")).scalar()
-    totals = df.agg(F.count("*").alias("n"), F.sum(error).alias("s"))
+    leading = df.orderBy(F.desc("actual"), key).limit(first).agg(
+        F.struct(F.count("*").alias("n"), F.sum(error).alias("s"))).scalar()
+    totals = df.agg(F.count("*").alias("n"), F.sum(error).alias("s")).withColumn("t", leading)
+    top = F.col("t")
     rest_n, rest_s = F.col("n") - top["n"], F.col("s") - top["s"]
     return totals.select(
         (top["s"] / top["n"]).alias("top_mean"),
@@ -200,16 +201,17 @@ def classification_metrics(df: DataFrame, classes: list[str], label: str = "labe
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins from minimum to maximum, empty ones included; the last bin holds the maximum."""
-    edges = df.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias(
-        "e")).scalar()
     value = F.col(column).cast("double")
-    width = (edges["hi"] - edges["lo"]) / bins
-    number = F.when(width > 0, F.least(F.floor((value - edges["lo"]) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counted = df.filter(value.isNotNull()).groupBy(number.cast("int").alias("bin")).agg(F.count("*").alias("count"))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    edges = df.agg(F.struct(
+        F.min(value).alias("lo"), ((F.max(value) - F.min(value)) / bins).alias("width"))).scalar()
+    lo, width = F.col("_e.lo"), F.col("_e.width")
+    number = F.when(width > 0, F.least(F.floor((value - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    placed = df.filter(value.isNotNull()).withColumn("_e", edges).select(number.cast("int").alias("bin"))
+    counted = placed.groupBy("bin").agg(F.count("*").alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), edges.alias("_e"))
     return every.join(counted, "bin", "left").select(
-        "bin", (edges["lo"] + F.col("bin") * width).alias("lower"),
-        (edges["lo"] + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("count", F.lit(0)).alias("count"))
+        "bin", (lo + F.col("bin") * width).alias("lower"), (lo + (F.col("bin") + 1) * width).alias("upper"),
+        F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def density_grid(df: DataFrame, column: str, points: int = 50) -> DataFrame:
@@ -220,12 +222,11 @@ def density_grid(df: DataFrame, column: str, points: int = 50) -> DataFrame:
     """
     value = F.col(column).cast("double")
     grouped = df.filter(value.isNotNull()).groupBy(value.alias("x")).agg(F.count("*").alias("w"))
+    bandwidth = F.stddev_samp(value) * F.pow(F.count(value).cast("double"), F.lit(-0.2))
     stats = df.agg(F.struct(
-        F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).alias("n"),
-        F.stddev_samp(value).alias("sd")).alias("s")).scalar()
-    bandwidth = stats["sd"] * F.pow(stats["n"].cast("double"), F.lit(-0.2))
-    step = (stats["hi"] - stats["lo"]) / (points - 1)
-    prepared = grouped.withColumns({"h": bandwidth, "lo": stats["lo"], "step": step, "n": stats["n"]})
+        F.min(value).alias("lo"), ((F.max(value) - F.min(value)) / (points - 1)).alias("step"),
+        F.count(value).alias("n"), bandwidth.alias("h"))).scalar()
+    prepared = grouped.withColumn("_s", stats).select("x", "w", "_s.*")
     sums = [
         F.sum(F.col("w") * F.exp(-F.pow((F.col("x") - (F.col("lo") + i * F.col("step"))) / F.col("h"), 2) / 2)).alias(
             f"s{i}") for i in range(points)]

@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Text and model stages are heavy per byte: let small shuffles keep several tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -22,9 +24,11 @@ _LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the recommended runtime settings to a session the caller owns."""
+    """Apply the recommended runtime settings, leaving alone what the session was configured with."""
+    configured = spark.sparkContext.getConf()
     for key, value in RECOMMENDED.items():
-        spark.conf.set(key, value)
+        if not configured.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
