@@ -79,7 +79,7 @@ def early_stopping_boosted(label: str, holdout: str, rounds: int = 100, toleranc
         validationIndicatorCol=holdout, validationTol=tolerance)
 
 
-def fit(df: DataFrame, estimator, train=F.col("split") == "train", vocabulary: int = 100) -> PipelineModel:
+def fit(df: DataFrame, estimator, train: str = "split = 'train'", vocabulary: int = 100) -> PipelineModel:
     """Preprocessing and estimator fitted on the train rows only."""
     frame, numeric, categorical, text = model_frame(df)
     return Pipeline(stages=[*preprocessing(numeric, categorical, text, vocabulary), estimator]).fit(frame.filter(train))
