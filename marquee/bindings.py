@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from marquee.functions import scalars
 from marquee.operators import features
 from marquee.plans import scoring
+from marquee.sources import readers
 
 FIRST_WORDS = ["Silent", "Golden", "Broken", "Hidden", "Crimson", "Winter", "Electric", "Lost"]
 SECOND_WORDS = ["River", "Empire", "Garden", "Signal", "Harbor", "Author", "Circus", "Mirror", "Frontier", "Shadow",
@@ -44,8 +45,13 @@ AS_OF = "2001-06-30"
 MIN_YEAR = 1998
 
 
+# Tables whose rows carry texts, or that texts are derived from.
+TEXT_TABLES = {"orders", "documents", "conversations", "benchmark"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return readers.spread_small(df) if name in TEXT_TABLES else df
 
 
 # --- expressions valid in both engines; ``pick`` is the one difference ---

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,11 +111,16 @@ def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All cells of the Pearson matrix, long form, from one pass over the data."""
-    half = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    upper = _pair_correlations(df, half)
-    mirrored = upper.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "correlation")
-    return upper.unionByName(mirrored)
+    """All cells of the Pearson matrix, long form; a constant column gives NULL.
+
+    MLlib accumulates the matrix per partition and merges it in a tree; only
+    the finished matrix, one cell per pair of columns, reaches the driver.
+    """
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(*columns))
+    matrix = Correlation.corr(vectors, "_v").head()[0].toArray()
+    cells = [(a, b, None if math.isnan(matrix[i][j]) else float(matrix[i][j]))
+             for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "a string, b string, correlation double")
 
 
 def correlation_ranking(df: DataFrame, target: str, columns: list[str], top: int = 20) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import scalars, text
-from marquee.operators import features
+from marquee.operators import features, joins
 from marquee.plans import scoring
 
 
@@ -31,4 +31,6 @@ def filter_report(report: DataFrame, titles: DataFrame, as_of: str, min_year: in
     allowed = features.validation_filter(titles, as_of, min_year).select("title").distinct()
     positive = report.filter(
         (F.col("actual_revenue") > 0) & (F.col("predicted_revenue") > 0) & ~text.is_synthetic_title(F.col("title")))
-    return positive.join(allowed, "title", "left_semi").orderBy(F.desc("actual_revenue"), "title")
+    figures = F.struct("actual_revenue", "predicted_revenue")
+    return joins.salted_lookup(positive, allowed, ["title"], figures, "left_semi").orderBy(
+        F.desc("actual_revenue"), "title")

@@ -66,6 +66,17 @@ def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.parquet(path)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than the cluster has cores over all of them.
+
+    A small file is often one row group, hence one task, although its texts
+    are costly to process.  A large input has more splits than cores and stays
+    as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """CSV with a header; quoted values may hold newlines and doubled quotes."""
     return (

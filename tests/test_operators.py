@@ -115,8 +115,10 @@ def brute_force(queries, references):
     return out
 
 
-@pytest.mark.parametrize("seed", [5, 6, 7])
-def test_similarity_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, broadcast", [(5, 500_000), (6, 500_000), (6, 0), (7, 0)])
+def test_similarity_matches_brute_force(spark, monkeypatch, seed, broadcast):
+    monkeypatch.setattr(similarity, "BROADCAST_TOKENS", broadcast)
+    monkeypatch.setattr(similarity, "HOT_TOKENS", 12)
     rng = random.Random(seed)
     # Skewed words, so that some tokens are in most texts; a third of the references are copies of one text.
     words = [f"w{int(rng.paretovariate(0.6)) % 400:03d}" for _ in range(4000)]
