@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,8 +19,6 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the recommended runtime settings, leaving alone what the session was configured with."""
@@ -35,19 +32,11 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables, checkpoints and stream state.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a ``local[...]``
-    master, where driver and tasks share one disk, may fall back to a
-    temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; else it lies in the
+    warehouse, which every executor reaches as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="marquee-")
-    return _LOCAL_SCRATCH[context.applicationId]
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

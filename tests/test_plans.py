@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 
 QUERIES = entry.queries()
-EAGER = {"stream_scoring", "similar_title", "infer_social"}
-LAZY = sorted(n for n in QUERIES if not n.startswith(("ml_", "scan_", "sink_", "csv_")) and n not in EAGER)
+EAGER = {"stream_scoring", "similar_title", "infer_social", "pipeline"}
+LAZY = sorted(n for n in QUERIES if not n.startswith(("ml_", "scan_", "sink_", "csv_", "op")) and n not in EAGER)
 
 
 @pytest.mark.parametrize("name", LAZY)
