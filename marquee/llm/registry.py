@@ -12,7 +12,8 @@ from marquee.session import tune
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["licenses", "placement", "toxicity", "packing", "ledger"]
+MODULES = ["chaining", "quantised", "licenses", "placement", "toxicity", "packing", "bagminhash", "lattice", "ledger",
+           "pii"]
 
 
 def importable(spark):
@@ -46,7 +47,12 @@ def documents(spark, sf):
 
 
 def load_all() -> tuple[dict, dict]:
-    """(queries, oracles) of every operator."""
+    """(queries, oracles) of every operator and of the pipeline."""
     for name in MODULES:
         import_module(f"marquee.llm.{name}")
-    return dict(QUERIES), dict(ORACLES)
+    pipeline = import_module("corpus_pipeline")
+    queries, oracles = dict(QUERIES), dict(ORACLES)
+    queries["pipeline"] = pipeline.run
+    if pipeline.ORACLE_SQL is not None:
+        oracles["pipeline"] = pipeline.ORACLE_SQL
+    return queries, oracles

@@ -19,24 +19,24 @@ def words(text: str | None) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """Word to 64-bit hash, remembered; forgets all when ``limit`` words are held."""
+    """Word to the 8 bytes of its hash, remembered; forgets all when ``limit`` words are held."""
 
     def __init__(self, limit: int = 500_000):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
         if len(self) >= self.limit:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_digest(word)
         return value
 
     def of(self, tokens: list[bytes]):
         import numpy as np
 
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        return np.frombuffer(b"".join(map(self.__getitem__, tokens)), np.uint64)
 
 
 def mix(values):
@@ -60,8 +60,8 @@ def shingle_hashes(hashes, size: int):
     n = len(hashes) - size + 1
     out = np.full(n, size, np.uint64)
     for k in range(size):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n])
-    return out
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
+    return mix(out)
 
 
 def map_texts(docs, make, columns: str):
