@@ -1,8 +1,7 @@
 """SentencePiece encoding and decoding as relations.
 
-A text is its words: a blank becomes the mark ``▁`` at the front of the next
-word, and a line break is a word of its own, so no piece crosses from one word
-to another.  Distinct words are exploded into their substrings of at most the
+A text is its words: blanks become marks ``▁`` at the front of the next word, and
+a line break is a word of its own, so no piece crosses from one word to another.  Distinct words are exploded into their substrings of at most the
 longest piece's length, equi-joined to the piece table, and the matches grouped
 by word again: the word's lattice.  A Spark ``aggregate`` folds the lattice into
 the word's pieces:
@@ -36,7 +35,7 @@ BLOCK_ROWS = 4_096
 #: Below every score, as the library sets it for characters without a piece.
 UNKNOWN = 10.0
 
-_WORD = re.compile(rf"\n|{MARK}?[^{MARK}\n]+|{MARK}")
+_WORD = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
 
 class Vocabulary(NamedTuple):
@@ -71,9 +70,9 @@ def read_vocabulary(path: str) -> Vocabulary:
             texts.append(bytes([int(piece.piece[3:5], 16)]))
         elif piece.type in (1, 4):
             texts.append(piece.piece.encode())
-            # A run of blanks is left to the single mark: its score is out of reach of any path.
-            if MARK not in piece.piece[1:]:
-                pieces.append((piece.piece, number, float(piece.score)))
+            if MARK in piece.piece.lstrip(MARK) or "\n" in piece.piece[1:]:
+                raise ValueError(f"the piece {piece.piece!r} crosses from one word to the next")
+            pieces.append((piece.piece, number, float(piece.score)))
         else:
             texts.append(b"")
     return Vocabulary(kinds[model.trainer_spec.model_type], pieces, byte_ids,
@@ -88,7 +87,7 @@ def words_of(text: str) -> list[str]:
 def word_column(text: Column) -> Column:
     """The same as ``words_of``."""
     marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(text != "", F.regexp_extract_all(marked, F.lit(f"\\n|{MARK}?[^{MARK}\\n]+|{MARK}"), F.lit(0))).otherwise(
+    return F.when(text != "", F.regexp_extract_all(marked, F.lit(f"\\n|{MARK}*[^{MARK}\\n]+|{MARK}+"), F.lit(0))).otherwise(
         F.array().cast("array<string>"))
 
 

@@ -119,8 +119,9 @@ def sentence_ends(path: str):
     import numpy as np
 
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
-    out = np.zeros(max(vocabulary.values()) + 1, bool)
+        content = json.load(file)
+    vocabulary = content["model"]["vocab"]
+    out = np.zeros(max([*vocabulary.values(), *(t["id"] for t in content["added_tokens"])]) + 1, bool)
     for token, number in vocabulary.items():
         mark = token.removesuffix("</w>")
         out[number] = token != mark and mark[-1:] in set(".!?") and not any(c.isalnum() for c in mark)

@@ -35,14 +35,13 @@ BLOCK = 512
 
 
 class Quantiser(NamedTuple):
-    mean: list
     rotation: list    # dimension x code bits
     keys: list        # code bits of each table
 
     def codes(self, vectors):
         import numpy as np
 
-        return (vectors - np.array(self.mean)) @ np.array(self.rotation) > 0
+        return vectors @ np.array(self.rotation) > 0
 
 
 def fit(sample, rows: int, seed: int = 7) -> Quantiser:
@@ -55,11 +54,10 @@ def fit(sample, rows: int, seed: int = 7) -> Quantiser:
     import numpy as np
 
     rng = np.random.default_rng(seed)
-    mean = sample.mean(axis=0)
-    centred = sample - mean
-    _, _, directions = np.linalg.svd(centred, full_matrices=True)
-    width = directions.shape[0]
-    projected = centred @ directions.T
+    # Not centred: the cosine is an angle at the origin, and so must the bits be.
+    _, directions = np.linalg.eigh(sample.T @ sample)
+    width = len(directions)
+    projected = sample @ directions
     rotation, _ = np.linalg.qr(rng.normal(size=(width, width)))
     for _ in range(ROUNDS):
         signs = np.where(projected @ rotation > 0, 1.0, -1.0)
@@ -74,7 +72,7 @@ def fit(sample, rows: int, seed: int = 7) -> Quantiser:
             bag += [b for b in rng.permutation(width).tolist() if b not in bag]
         keys.append(sorted(bag[:size]))
         bag = bag[size:]
-    return Quantiser(mean.tolist(), (directions.T @ rotation).tolist(), keys)
+    return Quantiser((directions @ rotation).tolist(), keys)
 
 
 def nodes_of(vectors: DataFrame) -> DataFrame:

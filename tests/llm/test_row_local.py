@@ -235,7 +235,7 @@ def test_packed_ids_equal_the_library(spark, none):
         assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
         docs.setdefault(r.doc_id, []).append(r)
     for k, text in enumerate(texts):
-        if k in (1, 2, 3, 4, 5, 8, 9):
+        if k in {i for i, _ in ODD}:
             continue
         pieces = sorted(docs[k], key=lambda r: r.start)
         ids = np.concatenate([np.frombuffer(p.ids, "<u4") for p in pieces]).tolist()
