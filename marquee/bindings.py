@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from marquee.functions import scalars
 from marquee.operators import features
 from marquee.plans import scoring
-from marquee.sources import readers
 
 FIRST_WORDS = ["Silent", "Golden", "Broken", "Hidden", "Crimson", "Winter", "Electric", "Lost"]
 SECOND_WORDS = ["River", "Empire", "Garden", "Signal", "Harbor", "Author", "Circus", "Mirror", "Frontier", "Shadow",
@@ -45,13 +44,8 @@ AS_OF = "2001-06-30"
 MIN_YEAR = 1998
 
 
-# Tables whose rows carry texts, or that texts are derived from.
-TEXT_TABLES = {"orders", "documents", "conversations", "benchmark"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return readers.spread_small(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 # --- expressions valid in both engines; ``pick`` is the one difference ---
@@ -285,12 +279,12 @@ def references(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def asked(spark: SparkSession, sf: str) -> DataFrame:
-    """Benchmark texts as queries: known, blank and unknown genres, some without words."""
+    """Benchmark texts as queries: known, blank and unknown genres; and two without words."""
     k = F.col("item_id")
     genre = F.expr(_spark_pick(["en", "de", "fr", "es", "", "xx"], "item_id % 6"))
-    return table(spark, sf, "benchmark").select(
-        k.alias("movie_id"), F.lit("").alias("title"),
-        F.when(k % 10 == 9, F.lit("")).otherwise(F.col("text")).alias("overview"), genre.alias("primary_genre"))
+    texts = table(spark, sf, "benchmark").select(
+        k.alias("movie_id"), F.lit("").alias("title"), F.col("text").alias("overview"), genre.alias("primary_genre"))
+    return texts.unionByName(spark.createDataFrame([(-1, "", "", "en"), (-2, "", "", "xx")], texts.schema))
 
 
 def labelled_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -392,8 +386,9 @@ CTES: dict[str, tuple[list[str], str]] = {
           CASE WHEN doc_id % 17 = 0 THEN NULL ELSE doc_id % 180 / 10 END AS youtube_sentiment,
           doc_id % 13 / 10 AS sentiment_volatility, (doc_id % 41 - 20) / 10 AS trend_momentum FROM documents"""),
     "asked": ([], f"""
-        SELECT item_id AS movie_id, '' AS title, CASE WHEN item_id % 10 = 9 THEN '' ELSE text END AS overview,
-          {_duck_pick(["en", "de", "fr", "es", "", "xx"], "item_id % 6")} AS primary_genre FROM benchmark"""),
+        SELECT item_id AS movie_id, '' AS title, text AS overview,
+          {_duck_pick(["en", "de", "fr", "es", "", "xx"], "item_id % 6")} AS primary_genre FROM benchmark
+        UNION ALL SELECT -1, '', '', 'en' UNION ALL SELECT -2, '', '', 'xx'"""),
     "labelled": ([], """
         SELECT doc_id AS movie_id, text AS overview, lang AS primary_genre, quality, toxic
         FROM documents JOIN labels USING (doc_id)"""),

@@ -298,17 +298,19 @@ def credits_by_role(spark, sf):
 
 @query("flatten_comments", sql="""
     SELECT conv_id AS movie_id, turn, CAST(pos AS INTEGER) AS pos, comment FROM (
-      SELECT conv_id, turn, unnest(range(turn % 3)) AS pos,
-        role || ' ' || CAST(unnest(range(turn % 3)) AS VARCHAR) || ': ' || text AS comment FROM conversations)
-    UNION ALL SELECT conv_id, turn, NULL, NULL FROM conversations WHERE turn % 3 = 0""")
+      SELECT conv_id, turn, unnest(range(turn % 3 + 1)) AS pos,
+        role || ' ' || CAST(unnest(range(turn % 3 + 1)) AS VARCHAR) || ': ' || text AS comment FROM conversations)
+    UNION ALL SELECT -1, 0, NULL, NULL UNION ALL SELECT -2, 0, NULL, NULL""")
 def flatten_comments(spark, sf):
-    thread = """CASE WHEN turn % 3 = 0 THEN NULL ELSE transform(sequence(0, cast(turn % 3 as int) - 1), i ->
+    """Every turn as a thread of one to three comments, and two rows more: no thread, and an empty one."""
+    thread = """transform(sequence(0, cast(turn % 3 as int)), i ->
         named_struct('snippet', named_struct('topLevelComment', named_struct('snippet', named_struct('textDisplay',
-        concat(role, ' ', cast(i as string), ': ', text)))))) END"""
+        concat(role, ' ', cast(i as string), ': ', text))))))"""
     threads = b.table(spark, sf, "conversations").select(
         F.col("conv_id").alias("movie_id"), "turn", F.expr(thread).alias("items"))
-    return threads.select("movie_id", "turn", F.posexplode_outer(text.flatten_threads(F.col("items"))).alias(
-        "pos", "comment"))
+    odd = spark.createDataFrame([(-1, 0, None), (-2, 0, [])], threads.schema)
+    return threads.unionByName(odd).select(
+        "movie_id", "turn", F.posexplode_outer(text.flatten_threads(F.col("items"))).alias("pos", "comment"))
 
 
 @query("series_unpivot", sql="""

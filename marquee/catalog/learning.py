@@ -52,21 +52,21 @@ def ml_random_forest(spark, sf):
 @query("ml_gbt")
 def ml_gbt(spark, sf):
     marked = frame(spark, sf).withColumn("holdout", scalars.stable_percent(c("movie_id"), 7) < 20)
-    model = learning.fit(marked, learning.early_stopping_boosted("revenue", "holdout", rounds=40))
+    model = learning.fit(marked, learning.early_stopping_boosted("revenue", "holdout"))
     return _metrics(learning.predict(model, marked)).withColumn("trees", F.lit(model.stages[-1].getNumTrees))
 
 
 @query("ml_weighted")
 def ml_weighted(spark, sf):
     weighted = materialise(features.sample_weights(frame(spark, sf)), "weighted")
-    model = learning.fit(weighted, learning.regressors(weight="sample_weight", trees=30)["random_forest"])
+    model = learning.fit(weighted, learning.regressors(weight="sample_weight")["random_forest"])
     return _metrics(learning.predict(model, weighted))
 
 
 @query("ml_classifier")
 def ml_classifier(spark, sf):
     df = stats.label_encode(frame(spark, sf), "success_class").withColumn("label", c("success_class_index").cast("double"))
-    name, model, table = learning.select_best_classifier(df, learning.classifiers(trees=30))
+    name, model, table = learning.select_best_classifier(df, learning.classifiers())
     rows = spark.createDataFrame(table, "candidate string, accuracy double, f1 double")
     return rows.withColumn("chosen", c("candidate") == name)
 
@@ -74,7 +74,7 @@ def ml_classifier(spark, sf):
 @query("ml_select_best")
 def ml_select_best(spark, sf):
     df = frame(spark, sf)
-    name, model, table = learning.select_best_regressor(df, learning.regressors(trees=30, rounds=20))
+    name, model, table = learning.select_best_regressor(df, learning.regressors())
     rows = spark.createDataFrame(table, "candidate string, rows bigint, r2 double, rmse double, mae double, mape double")
     scored = learning.predict(model, df).agg(F.count("predicted").alias("scored_rows")).scalar()
     return rows.withColumns({"chosen": c("candidate") == name, "scored_rows": scored})
@@ -83,7 +83,7 @@ def ml_select_best(spark, sf):
 @query("ml_importance")
 def ml_importance(spark, sf):
     df = frame(spark, sf)
-    model = learning.fit(df, learning.regressors(trees=30)["random_forest"])
+    model = learning.fit(df, learning.regressors()["random_forest"])
     return learning.importance(model, df)
 
 

@@ -11,7 +11,7 @@ from marquee.catalog.texts import BEST_CTE, NAMES_CTE, OVERVIEW_CTE, REPUTATION_
 from marquee.functions import fixed, rules, text
 from marquee.operators import features, lexicon, people, stats
 from marquee.plans import final_dataset, scoring, validation
-from marquee.session import scratch_path
+from marquee.session import materialise, scratch_path
 from marquee.streaming.scoring_stream import score_stream
 
 c = F.col
@@ -279,8 +279,10 @@ _SCORE_SQL = f"""
 
 
 def _score(spark, sf):
-    predict = scoring.predict_linear(scoring.linear_by_genre(b.facts(spark, sf)))
-    known, returns, words = b.people(spark, sf), b.roi(spark, sf), b.lexicon(spark)
+    # Fitted and looked-up sides are written once, so a micro-batch reads them and derives nothing.
+    predict = scoring.predict_linear(materialise(scoring.linear_by_genre(b.facts(spark, sf)), "coefficients"))
+    known, returns = materialise(b.people(spark, sf), "people"), materialise(b.roi(spark, sf), "returns")
+    words = b.lexicon(spark)
     return lambda records: scoring.score(records, predict, known, returns, words)
 
 

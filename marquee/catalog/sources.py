@@ -8,6 +8,7 @@ from marquee import bindings as b, schemas
 from marquee.catalog.registry import query
 from marquee.functions import scalars
 from marquee.operators import joins
+from marquee.plans import final_dataset
 from marquee.session import scratch_path
 from marquee.sources import readers, sinks
 
@@ -136,6 +137,41 @@ def optional_source(spark, sf):
     return joins.lookup(titles, missing, ["movie_id"], {"youtube_sentiment": 0.0, "sentiment_volatility": 0.0})
 
 
+def _raw_folders(spark, sf):
+    """Raw documents as files: every title, then every third again under another name, then damaged lines."""
+    root = scratch_path(spark, "raw")
+    movies, clips = b.movie_docs(spark, sf), b.trailer_docs(spark, sf)
+    again = movies.filter(F.col("id") % 3 == 0).withColumn("title", F.upper("title"))
+    sinks.write_json(movies, f"{root}/movies/a")
+    sinks.write_json(again, f"{root}/movies/b")
+    movies.select(F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(', "title": "cut o')).alias("value")).filter(
+        F.col("id") % 10 == 0).write.text(f"{root}/movies/c")
+    more = clips.withColumn("trailer_stats", F.col("trailer_stats").withField("viewCount", F.lit("7")))
+    sinks.write_json(clips, f"{root}/trailers/a")
+    sinks.write_json(more.filter(F.col("movie_id") % 4 == 0), f"{root}/trailers/b")
+    return {"movies": f"{root}/movies/*", "trailers": f"{root}/trailers/*",
+            **{n: f"{root}/no-{n}" for n in ("credits", "series", "articles")}}
+
+
+@query("pipeline_from_files", ctes="base audience", sql="""
+    SELECT b.movie_id, b.title, coalesce(a.budget, 0) AS budget, revenue,
+      CASE WHEN b.movie_id % 43 = 0 OR b.movie_id % 41 = 0 THEN 'Unknown' ELSE primary_genre END AS primary_genre,
+      coalesce(CASE WHEN b.movie_id % 31 = 0 AND a.movie_id IS NOT NULL THEN 0 ELSE trailer_views END, 0) AS trailer_views,
+      coalesce(overview, '') AS overview, 0e0 AS youtube_sentiment
+    FROM base b LEFT JOIN audience a ON a.movie_id = b.movie_id""")
+def pipeline_from_files(spark, sf):
+    out = final_dataset.run_pipeline(spark, _raw_folders(spark, sf), b.lexicon(spark), bad="skip")
+    return out["final_dataset"].select("movie_id", "title", "budget", "revenue", "primary_genre", "trailer_views",
+                                       "overview", "youtube_sentiment")
+
+
+@query("rejected_lines", sql="""
+    SELECT 'movies' AS source, count(*) AS lines FROM orders WHERE o_orderkey % 10 = 0 HAVING count(*) > 0""")
+def rejected_lines(spark, sf):
+    bad = final_dataset.rejected_lines(spark, _raw_folders(spark, sf))
+    return bad.groupBy("source").agg(F.count("*").alias("lines"))
+
+
 @query("cache_refresh", ctes="credits", sql="""
     SELECT o_orderkey AS movie_id, CASE WHEN o_orderstatus = 'F' THEN 'cache' ELSE 'fetched' END AS origin,
       n AS credits FROM orders JOIN (SELECT movie_id, count(*) AS n FROM credits GROUP BY 1) ON movie_id = o_orderkey""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee import bindings as b
-from marquee.catalog.joining import _STOP, _tokens_sql
+from marquee.catalog.joining import _tokens_sql
 from marquee.catalog.registry import query
 from marquee.functions import fixed, text
 from marquee.operators import lexicon, people, tfidf
@@ -21,15 +21,14 @@ def tokenize(spark, sf):
 
 
 @query("token_jaccard", sql=f"""
-    SELECT doc_id, CASE WHEN length(a) + length(c) = 0 THEN NULL ELSE round(length(list_intersect(a, c))
-      / (length(a) + length(c) - length(list_intersect(a, c))), 6) END AS score
-    FROM (SELECT doc_id, {_tokens_sql('text')} AS a,
-            {_tokens_sql("substr(text, 1, CAST(n_chars // 2 AS BIGINT)) || ' extra words here'")} AS c FROM documents)""")
+    WITH t AS (SELECT doc_id, {_tokens_sql('text')} AS w FROM documents)
+    SELECT x.doc_id, CASE WHEN length(x.w) + length(y.w) = 0 THEN NULL ELSE round(length(list_intersect(x.w, y.w))
+      / (length(x.w) + length(y.w) - length(list_intersect(x.w, y.w))), 6) END AS score
+    FROM t x JOIN t y ON y.doc_id = x.doc_id + 1""")
 def token_jaccard(spark, sf):
-    half = F.concat(F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / 2).cast("int")),
-                    F.lit(" extra words here"))
-    pair = b.table(spark, sf, "documents").select(
-        "doc_id", text.tokenize(F.col("text")).alias("a"), text.tokenize(half).alias("c"))
+    sets = b.table(spark, sf, "documents").select("doc_id", text.tokenize(F.col("text")).alias("a"))
+    following = sets.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("c"))
+    pair = sets.join(following, "doc_id")
     return pair.select("doc_id", F.round(text.jaccard(F.col("a"), F.col("c")), 6).alias("score"))
 
 
@@ -151,13 +150,20 @@ def _boost_sql(column):
     return f"CASE {cases} ELSE 0e0 END"
 
 
-_NEG = ", ".join(f"'{w}'" for w in fixed.NEGATIONS)
+_NEG = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.NEGATIONS)
+
+
+def _pair_sql(k):
+    pairs = ", ".join(f"'{p}'" for p in fixed.DAMPENING_PAIRS)
+    return f"CASE WHEN concat_ws(' ', b{k + 1}, b{k}) IN ({pairs}) THEN -0.293e0 ELSE {_boost_sql(f'b{k}')} END"
+
+
 SENTIMENT_CTE = f"""
     toks AS (SELECT movie_id, turn, unnest(w) AS token, unnest(range(length(w))) AS i FROM (
-      SELECT movie_id, turn, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM spoken)),
+      SELECT movie_id, turn, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}'']+') AS w FROM spoken)),
     ctx AS (SELECT *, lag(token, 1) OVER p AS b1, lag(token, 2) OVER p AS b2, lag(token, 3) OVER p AS b3 FROM toks
       WINDOW p AS (PARTITION BY movie_id, turn ORDER BY i)),
-    valued AS (SELECT movie_id, turn, (valence + sign(valence) * ({_boost_sql('b1')} * 1.0e0 + {_boost_sql('b2')} * 0.95e0
+    valued AS (SELECT movie_id, turn, (valence + sign(valence) * ({_pair_sql(1)} * 1.0e0 + {_pair_sql(2)} * 0.95e0
         + {_boost_sql('b3')} * 0.9e0)) * CASE WHEN b1 IN ({_NEG}) OR b2 IN ({_NEG}) OR b3 IN ({_NEG}) THEN -0.74e0
         ELSE 1e0 END AS v FROM ctx JOIN lexicon USING (token)),
     totals AS (SELECT movie_id, turn, sum(v) AS s FROM valued GROUP BY 1, 2)"""
@@ -196,7 +202,7 @@ def keywords(spark, sf):
 
 
 OVERVIEW_CTE = """
-    otoks AS (SELECT movie_id, unnest(regexp_extract_all(lower(overview), '[a-z0-9]+')) AS token FROM base),
+    otoks AS (SELECT movie_id, unnest(regexp_extract_all(lower(overview), '[\\p{L}\\p{N}'']+')) AS token FROM base),
     omeans AS (SELECT movie_id, avg(polarity) AS p, avg(subjectivity) AS s FROM otoks JOIN lexicon USING (token)
       GROUP BY 1)"""
 
@@ -219,9 +225,12 @@ def overview_nlp(spark, sf):
         "keywords": F.array_join("keywords", "; ")})
 
 
+_ENGLISH = ", ".join(f"'{w}'" for w in fixed.ENGLISH_STOP_WORDS)
+
+
 @query("tfidf_terms", sql=rf"""
     WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM documents),
-      tf AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE NOT list_contains({_STOP}, term) GROUP BY 1, 2),
+      tf AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE NOT list_contains([{_ENGLISH}], term) GROUP BY 1, 2),
       vocab AS (SELECT term, count(*) AS df FROM tf GROUP BY 1 ORDER BY sum(tf) DESC, term LIMIT 100),
       w AS (SELECT doc_id, tf.term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w
             FROM tf JOIN vocab ON vocab.term = tf.term)

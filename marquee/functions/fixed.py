@@ -92,6 +92,19 @@ STOP_WORDS = [
     "your", "our", "out", "off", "who", "what", "why", "how",
 ]
 
+# English words that carry no topic, for term weights.
+ENGLISH_STOP_WORDS = [
+    "a", "about", "above", "after", "again", "against", "all", "am", "an", "and", "any", "are", "as", "at", "be",
+    "because", "been", "before", "being", "below", "between", "both", "but", "by", "can", "could", "did", "do", "does",
+    "doing", "down", "during", "each", "few", "for", "from", "further", "had", "has", "have", "having", "he", "her",
+    "here", "hers", "herself", "him", "himself", "his", "how", "i", "if", "in", "into", "is", "it", "its", "itself",
+    "just", "me", "more", "most", "my", "myself", "no", "nor", "not", "now", "of", "off", "on", "once", "only", "or",
+    "other", "our", "ours", "ourselves", "out", "over", "own", "same", "she", "should", "so", "some", "such", "than",
+    "that", "the", "their", "theirs", "them", "themselves", "then", "there", "these", "they", "this", "those",
+    "through", "to", "too", "under", "until", "up", "very", "was", "we", "were", "what", "when", "where", "which",
+    "while", "who", "whom", "why", "will", "with", "would", "you", "your", "yours", "yourself", "yourselves",
+]
+
 # Phrase override: (required phrase, any of these, floor, base, multiplier, confidence on the phrase)
 OVERRIDE_PHRASE = "inception"
 OVERRIDE_ANY = ["nolan", "dream"]
@@ -185,12 +198,30 @@ RECORD_FIELDS = [
 ]
 
 # Valence rules of the published lexicon-and-rule sentiment model.
-BOOSTERS = {
-    "absolutely": 0.293, "completely": 0.293, "especially": 0.293, "extremely": 0.293,
-    "really": 0.293, "so": 0.293, "totally": 0.293, "very": 0.293,
-    "almost": -0.293, "barely": -0.293, "hardly": -0.293, "slightly": -0.293, "somewhat": -0.293,
-}
-NEGATIONS = ["not", "no", "never", "none", "nothing", "neither", "nor", "without", "cannot"]
+SENTIMENT_TOKEN_PATTERN = r"[\p{L}\p{N}']+"
+INTENSIFIERS = [
+    "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably", "decidedly", "deeply",
+    "effing", "enormous", "enormously", "entirely", "especially", "exceptional", "exceptionally", "extreme",
+    "extremely", "fabulously", "flipping", "flippin", "frackin", "fracking", "fricking", "frickin", "frigging",
+    "friggin", "fully", "fuckin", "fucking", "fuggin", "fugging", "greatly", "hella", "highly", "hugely",
+    "incredible", "incredibly", "intensely", "major", "majorly", "more", "most", "particularly", "purely", "quite",
+    "really", "remarkably", "so", "substantially", "thoroughly", "total", "totally", "tremendous", "tremendously",
+    "uber", "unbelievably", "unusually", "utter", "utterly", "very",
+]
+DAMPENERS = [
+    "almost", "barely", "hardly", "kinda", "kindof", "less", "little", "marginal", "marginally", "occasional",
+    "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof",
+]
+DAMPENING_PAIRS = ["just enough", "kind of", "sort of"]
+BOOSTERS = {w: 0.293 for w in INTENSIFIERS} | {w: -0.293 for w in [*DAMPENERS, *DAMPENING_PAIRS]}
+NEGATIONS = [
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "ain't", "aren't", "can't",
+    "couldn't", "daren't", "didn't", "doesn't", "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt",
+    "neither", "don't", "hadn't", "hasn't", "haven't", "isn't", "mightn't", "mustn't", "neednt", "needn't", "never",
+    "no", "none", "nope", "nor", "not", "nothing", "nowhere", "oughtnt", "shant", "shouldnt", "wasnt", "werent",
+    "oughtn't", "shan't", "shouldn't", "wasn't", "weren't", "without", "wont", "wouldnt", "won't", "wouldn't",
+    "rarely", "seldom", "despite",
+]
 NEGATION_FACTOR = -0.74
 BOOSTER_DECAY = [1.0, 0.95, 0.9]
 COMPOUND_ALPHA = 15.0

@@ -23,7 +23,7 @@ def high_cue_factor(hits: Column) -> Column:
 
 def franchise_factor(franchise: Column, genre: Column, vote_average: Column, budget: Column) -> Column:
     return (
-        F.when(~franchise, F.lit(1.0))
+        F.when(~F.coalesce(franchise, F.lit(False)), F.lit(1.0))
         .when((genre == "Animation") & (vote_average > 7.0), F.lit(1.3))
         .when(budget > 150_000_000, F.lit(1.25))
         .otherwise(F.lit(1.15))
@@ -81,7 +81,7 @@ def outcome_class(prediction: Column, budget: Column, low_hits: Column) -> Colum
     hit = F.when(big, F.lit(2.2)).otherwise(F.lit(3.0))
     roi = F.when(budget > 0, prediction / budget)
     return (
-        F.when(~(budget > 0), "Unknown")
+        F.when(~F.coalesce(budget > 0, F.lit(False)) | prediction.isNull(), "Unknown")
         .when((low_hits >= 3) & (roi >= hit), "Average")
         .when((low_hits >= 5) & (roi >= 1.0), "Flop")
         .when(roi >= very_hit, "Very Hit")

@@ -12,9 +12,9 @@ def _empty_strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def words(text: Column) -> Column:
-    """Lower-case alphanumeric runs in order, repeats kept."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(fixed.TOKEN_PATTERN), F.lit(0))
+def sentiment_words(text: Column) -> Column:
+    """Lower-case runs of letters of any script, digits and apostrophes, repeats kept."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(fixed.SENTIMENT_TOKEN_PATTERN), F.lit(0))
 
 
 def tokenize(text: Column, stop_words: list[str] | None = None) -> Column:
@@ -69,7 +69,7 @@ def is_nonsense(overview: Column, budget: Column) -> Column:
 
 
 def is_synthetic_title(title: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(title, F.lit("")))).rlike(fixed.SYNTHETIC_TITLE_PATTERN)
+    return F.lower(_strip(F.coalesce(title, F.lit("")))).rlike(fixed.SYNTHETIC_TITLE_PATTERN)
 
 
 def is_franchise(title: Column, word_boundary: bool = False) -> Column:
@@ -81,6 +81,11 @@ def is_franchise(title: Column, word_boundary: bool = False) -> Column:
     return markers | numbered | F.contains(lowered, F.lit("chapter")) | known
 
 
+def _strip(value: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(value, r"^\s+|\s+$", "")
+
+
 def extract_names(text: Column, inner_caps: bool = False) -> Column:
     """Distinct person names in order of appearance.
 
@@ -93,9 +98,9 @@ def extract_names(text: Column, inner_caps: bool = False) -> Column:
     whole = rf"^{full_name}$"
 
     def names_on(line: Column) -> Column:
-        stripped = F.regexp_replace(F.trim(line), fixed.BULLET_PATTERN, "")
+        stripped = F.regexp_replace(_strip(line), fixed.BULLET_PATTERN, "")
         listed = F.split(F.regexp_extract(stripped, fixed.ROLE_LINE_PATTERN, 1), fixed.NAME_SEPARATORS)
-        credited = F.filter(F.transform(listed, lambda n: F.trim(n)), lambda n: n.rlike(whole))
+        credited = F.filter(F.transform(listed, _strip), lambda n: n.rlike(whole))
         return F.when(stripped.rlike(leading), F.array(F.regexp_extract(stripped, leading, 1))).otherwise(credited)
 
     lines = F.split(F.coalesce(text, F.lit("")), "\n")

@@ -9,22 +9,22 @@ from marquee.functions import fixed, scalars, text
 from marquee.operators import joins, quantiles
 
 
-def clean_movies(docs: DataFrame) -> DataFrame:
-    """Movie detail documents to the ten cleaned columns."""
+def clean_movies(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Movie detail documents to the ten cleaned columns, and the columns in ``keep`` as they are."""
     return docs.select(
         F.col("id").alias("movie_id"), "title", "budget", "revenue", "runtime", "popularity", "vote_average",
-        "vote_count", "release_date", scalars.primary_genre(F.col("genres")).alias("primary_genre"),
+        "vote_count", "release_date", scalars.primary_genre(F.col("genres")).alias("primary_genre"), *(keep or []),
     ).na.fill({"budget": 0, "revenue": 0, "popularity": 0.0, "primary_genre": "Unknown"})
 
 
-def clean_trailers(docs: DataFrame) -> DataFrame:
+def clean_trailers(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Trailer documents to numeric counts; unreadable counts become 0."""
     stats = F.col("trailer_stats")
     return docs.select(
         "movie_id",
         scalars.to_bigint(stats["viewCount"]).alias("trailer_views"),
         scalars.to_bigint(stats["likeCount"]).alias("trailer_likes"),
-        scalars.to_bigint(stats["commentCount"]).alias("trailer_comments"),
+        scalars.to_bigint(stats["commentCount"]).alias("trailer_comments"), *(keep or []),
     ).na.fill(0)
 
 
@@ -85,15 +85,23 @@ def series_to_long(wide: DataFrame, index: str, keywords: list[str]) -> DataFram
 
 
 def sample_weights(df: DataFrame, target: str = "revenue") -> DataFrame:
-    """log1p(target / median), scaled to mean 1; both statistics are scalar subqueries."""
+    """log1p(target / median), scaled to mean 1; both statistics are scalar subqueries.
+
+    Where the median is 0 the target itself takes the ratio's place; where no
+    target is above 0 every weight is 1.
+    """
     median = quantiles.median_of(df, target)
-    raw = df.withColumn("_raw", F.log1p(F.col(target) / median))
+    ratio = F.coalesce(F.try_divide(F.col(target).cast("double"), median.cast("double")), F.col(target).cast("double"))
+    raw = df.withColumn("_raw", F.log1p(ratio))
     mean = raw.agg(F.avg("_raw")).scalar()
-    return raw.withColumn("sample_weight", F.col("_raw") / mean).drop("_raw")
+    weight = F.when(F.col("_raw").isNotNull(), F.coalesce(F.try_divide(F.col("_raw"), mean), F.lit(1.0)))
+    return raw.withColumn("sample_weight", weight).drop("_raw")
 
 
 def impute_median(df: DataFrame, columns: list[str], target: str = "revenue", below: float = 3e9) -> DataFrame:
-    """NULL to the column's exact median, infinities to 0, outlier targets dropped."""
+    """NULL and NaN to the column's exact median, infinities to 0, outlier targets dropped."""
+    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c)) for c in columns}
+    df = df.withColumns(known)
     row = quantiles.medians(df, columns).select(F.struct(*columns)).scalar()
     filled = {c: scalars.finite_or_zero(F.coalesce(F.col(c).cast("double"), F.col("_m")[c])) for c in columns}
     return df.filter(F.col(target) < below).withColumn("_m", row).withColumns(filled).drop("_m")
@@ -114,7 +122,7 @@ def standardize(df: DataFrame, columns: list[str], fit_on=None) -> DataFrame:
 def align_record(df: DataFrame) -> DataFrame:
     """Every scoring field, defaults filled, month fixed; absent columns are created."""
     have = set(df.columns)
-    out = [F.col("movie_id")] if "movie_id" in have else []
+    out = [F.col(name) for name in ("movie_id", "_row") if name in have]
     for name, dtype, default in fixed.RECORD_FIELDS:
         if name in have:
             value = F.col(name).try_cast(dtype)

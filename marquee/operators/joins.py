@@ -56,7 +56,9 @@ def last_value(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
 
 
 def enrich_overwrite(df: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Replace columns only on rows whose key has an update."""
+    """Replace columns only on rows whose key has an update; of repeated updates the greatest row counts."""
+    latest = F.struct(*[F.col(c) for c in columns])
+    updates = updates.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(latest).alias("_u")).select(key, "_u.*")
     renamed = updates.select(key, F.lit(True).alias("_matched"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = df.join(renamed, key, "left")
     replaced = {c: F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
@@ -64,8 +66,8 @@ def enrich_overwrite(df: DataFrame, updates: DataFrame, key: str, columns: list[
 
 
 def refresh_cache(ids: DataFrame, cache: DataFrame, fetch, key: str) -> DataFrame:
-    """Cache plus freshly fetched rows for ids it lacks; ``fetch`` maps ids to rows."""
-    missing = ids.join(cache.select(key), key, "left_anti")
+    """Cache plus freshly fetched rows for ids it lacks, each once; NULL ids are not fetched."""
+    missing = ids.where(F.col(key).isNotNull()).dropDuplicates([key]).join(cache.select(key), key, "left_anti")
     return cache.unionByName(fetch(missing))
 
 

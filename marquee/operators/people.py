@@ -134,6 +134,34 @@ def reputation(df: DataFrame, people: DataFrame, roi: DataFrame, key: str = "mov
                         "names_checked")
 
 
+def text_people(df: DataFrame, people: DataFrame, roi: DataFrame, key: str, overview: str = "overview",
+                first: int = 12) -> DataFrame:
+    """``text_cast_stats`` and ``reputation`` of every text in one row: names found once, people joined once.
+
+    ``cast`` and ``reputation`` are structs, NULL where the text names nobody known.
+    """
+    side = best_match(people).join(roi, "name", "full")
+    known = joins.salted_lookup(names_in_text(df, key, overview), side, ["name"], F.col(key))
+    known = known.withColumns({"_early": F.col("seq") < first,
+                               "_fame": F.when((F.col("seq") < first) & (F.col("popularity") > 0), F.col("popularity")),
+                               "_roi": F.when(F.col("seq") < first, F.col("roi"))})
+    average = F.avg("popularity")
+    stats = known.groupBy(key).agg(
+        F.count("popularity").alias("found"),
+        F.struct(average.alias("avg_cast_popularity"), F.max("popularity").alias("max_cast_popularity"),
+                 F.count("popularity").cast("int").alias("num_cast_members"),
+                 (average * F.count("popularity")).alias("star_power_score")).alias("cast"),
+        F.count("_fame").alias("pops"), F.coalesce(F.avg("_fame"), F.lit(0.0)).alias("avg_popularity"),
+        F.coalesce(F.max("_fame"), F.lit(0.0)).alias("max_popularity"), F.count("_roi").alias("rois"),
+        F.coalesce(F.avg("_roi"), F.lit(0.0)).alias("avg_historical_roi"))
+    factor = rules.reputation_factor(
+        F.col("avg_popularity"), F.col("max_popularity"), F.col("pops"), F.col("avg_historical_roi"), F.col("rois"))
+    return stats.select(
+        key, F.when(F.col("found") > 0, F.col("cast")).alias("cast"),
+        F.when((F.col("pops") > 0) | (F.col("rois") > 0), F.struct(
+            factor.alias("factor"), "avg_popularity", "max_popularity", "avg_historical_roi")).alias("reputation"))
+
+
 def actor_roi(credits: DataFrame, titles: DataFrame) -> DataFrame:
     """Mean past return of a title's cast, the title itself left out.
 

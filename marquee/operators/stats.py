@@ -98,29 +98,26 @@ def describe_positive(df: DataFrame, column: str) -> DataFrame:
 
 
 def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(a, b, correlation) from one aggregate; a constant column gives NULL."""
-    columns = sorted({c for pair in pairs for c in pair})
-    one_row = df.agg(
-        *[F.covar_pop(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.max(c) > F.min(c), F.stddev_pop(c)).alias(f"s_{c}") for c in columns])
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                 (F.col(f"c{i}") / (F.col(f"s_{a}") * F.col(f"s_{b}"))).alias("correlation"))
-        for i, (a, b) in enumerate(pairs)])
-    return one_row.select(F.inline(cells))
+    """(a, b, correlation) from one aggregate, each over the rows where both are known; a constant gives NULL."""
+    def correlation(a: str, b: str):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+        varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+        return F.when(varies, F.covar_pop(x, y) / (F.stddev_pop(x) * F.stddev_pop(y)))
+
+    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("correlation")) for a, b in pairs]
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All cells of the Pearson matrix, long form; a constant column gives NULL.
+    """All cells of the Pearson matrix, long form, each over the rows where both columns are known.
 
-    MLlib accumulates the matrix per partition and merges it in a tree; only
-    the finished matrix, one cell per pair of columns, reaches the driver.
+    One aggregate with a cell per unordered pair; a constant column gives NULL.
     """
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(*columns))
-    matrix = Correlation.corr(vectors, "_v").head()[0].toArray()
-    cells = [(a, b, None if math.isnan(matrix[i][j]) else float(matrix[i][j]))
-             for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(cells, "a string, b string, correlation double")
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    half = _pair_correlations(df, pairs)
+    return half.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "correlation"))).otherwise(
+        F.array(F.struct("a", "b", "correlation"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "correlation")))))
 
 
 def correlation_ranking(df: DataFrame, target: str, columns: list[str], top: int = 20) -> DataFrame:

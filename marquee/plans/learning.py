@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import fixed, scalars
 from marquee.operators import stats
+from marquee.session import materialise
 
 
 def preprocessing(numeric: list[str], categorical: list[str], text: str | None, vocabulary: int = 100) -> list:
@@ -28,7 +29,7 @@ def preprocessing(numeric: list[str], categorical: list[str], text: str | None,
     if text is not None:
         stages += [
             RegexTokenizer(inputCol=text, outputCol="words_all", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False),
-            StopWordsRemover(inputCol="words_all", outputCol="words_kept"),
+            StopWordsRemover(inputCol="words_all", outputCol="words_kept", stopWords=fixed.ENGLISH_STOP_WORDS),
             CountVectorizer(inputCol="words_kept", outputCol="term_counts", vocabSize=vocabulary),
             IDF(inputCol="term_counts", outputCol="term_weights"),
             Normalizer(inputCol="term_weights", outputCol="terms"),
@@ -54,7 +55,7 @@ def regressors(label: str = "revenue", weight: str | None = None, trees: int = 1
     """Candidate regressors, in tie-breaking order."""
     weighted = {"weightCol": weight} if weight else {}
     return {
-        "linear": LinearRegression(labelCol=label, regParam=1e-3, **weighted),
+        "linear": LinearRegression(labelCol=label, **weighted),
         "random_forest": RandomForestRegressor(
             labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=3, seed=seed, **weighted),
         "boosted": GBTRegressor(
@@ -102,7 +103,7 @@ def select_best_regressor(df: DataFrame, candidates: dict, label: str = "revenue
     """
     frame, numeric, categorical, text = model_frame(df)
     prepared = Pipeline(stages=preprocessing(numeric, categorical, text)).fit(frame.filter("split = 'train'"))
-    ready = prepared.transform(frame)
+    ready = materialise(prepared.transform(frame).drop("words_all", "words_kept"), "prepared")
     best, table = None, []
     for name, estimator in candidates.items():
         model = estimator.fit(ready.filter("split = 'train'"))
@@ -118,7 +119,7 @@ def select_best_classifier(df: DataFrame, candidates: dict, label: str = "label"
     """As ``select_best_regressor``, by weighted F1 of the test rows."""
     frame, numeric, categorical, text = model_frame(df)
     prepared = Pipeline(stages=preprocessing(numeric, categorical, text)).fit(frame.filter("split = 'train'"))
-    ready = prepared.transform(frame)
+    ready = materialise(prepared.transform(frame).drop("words_all", "words_kept"), "prepared")
     best, table = None, []
     for name, estimator in candidates.items():
         model = estimator.fit(ready.filter("split = 'train'"))
@@ -171,7 +172,9 @@ def load(path: str) -> PipelineModel | None:
 
     try:
         return PipelineModel.load(path)
-    except (Py4JJavaError, PySparkException):
+    except (Py4JJavaError, PySparkException) as error:
+        if not any(sign in str(error) for sign in ("PATH_NOT_FOUND", "Input path does not exist")):
+            raise
         return None
 
 

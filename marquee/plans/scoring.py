@@ -10,15 +10,26 @@ from pyspark.sql import functions as F
 from marquee.functions import fixed, rules, scalars, text
 from marquee.operators import features, lexicon as lexicon_ops, people as people_ops
 from marquee.operators.similarity import social_signals
+from marquee.session import materialise
 
 c = F.col
 
 
+ROW = "_row"
+
+
+def with_row_id(records: DataFrame) -> DataFrame:
+    """The records with a row number, written: it keeps apart records whose id is repeated, NULL or missing."""
+    if "movie_id" not in records.columns:
+        records = records.withColumn("movie_id", F.lit(None).cast("bigint"))
+    return materialise(records.withColumn(ROW, F.monotonically_increasing_id()), "records")
+
+
 def apply_social(records: DataFrame, references: DataFrame | None) -> DataFrame:
     """Social signals of the nearest reference title (or the record's own), clipped."""
     if references is not None:
-        signals = social_signals(records, references)
-        records = records.drop(*fixed.SOCIAL_BOUNDS).join(signals, "movie_id", "left")
+        signals = social_signals(records.drop("movie_id"), references.withColumnRenamed("movie_id", ROW), ROW)
+        records = records.drop(*fixed.SOCIAL_BOUNDS).join(signals.drop("source"), ROW, "left")
     return records.withColumns({n: scalars.social_clip(c(n), *b) for n, b in fixed.SOCIAL_BOUNDS.items()})
 
 
@@ -35,10 +46,14 @@ def nlp_adjust(df: DataFrame) -> DataFrame:
     })
 
 
-def cast_blend(df: DataFrame, found: DataFrame) -> DataFrame:
-    """Blend in statistics of people the overview names (overviews over 20 characters)."""
-    side = found.select("movie_id", *[c(n).alias(f"_f_{n}") for n in fixed.CAST_FEATURES])
-    joined = df.join(side, "movie_id", "left")
+def cast_blend(df: DataFrame, found: DataFrame | None = None, key: str = "movie_id") -> DataFrame:
+    """Blend in statistics of people the overview names (overviews over 20 characters).
+
+    ``found`` has one row per key; without it they stand in the struct column ``cast``.
+    """
+    if found is not None:
+        df = df.join(found.select(key, F.struct(*fixed.CAST_FEATURES).alias("cast")), key, "left")
+    joined = df.withColumns({f"_f_{n}": c("cast")[n] for n in fixed.CAST_FEATURES}).drop("cast")
     applies = c("_f_avg_cast_popularity").isNotNull() & (F.length("overview") > 20)
     changed = {
         "avg_cast_popularity": rules.blended(c("avg_cast_popularity"), c("_f_avg_cast_popularity")),
@@ -51,12 +66,16 @@ def cast_blend(df: DataFrame, found: DataFrame) -> DataFrame:
     return people_ops.sanitize(blended.drop(*[f"_f_{n}" for n in fixed.CAST_FEATURES]))
 
 
-def reputation_apply(df: DataFrame, reputation: DataFrame) -> DataFrame:
-    """Fill absent director signals, scale six people signals, lift the past return."""
-    side = reputation.select(
-        "movie_id", c("factor").alias("_factor"), c("avg_popularity").alias("_avg"), c("max_popularity").alias("_max"),
-        c("avg_historical_roi").alias("_roi"))
-    joined = df.join(side, "movie_id", "left")
+def reputation_apply(df: DataFrame, reputation: DataFrame | None = None, key: str = "movie_id") -> DataFrame:
+    """Fill absent director signals, scale six people signals, lift the past return.
+
+    ``reputation`` has one row per key; without it it stands in the struct column ``reputation``.
+    """
+    fields = ["factor", "avg_popularity", "max_popularity", "avg_historical_roi"]
+    if reputation is not None:
+        df = df.join(reputation.select(key, F.struct(*fields).alias("reputation")), key, "left")
+    joined = df.withColumns(dict(zip(
+        ["_factor", "_avg", "_max", "_roi"], [c("reputation")[f] for f in fields]))).drop("reputation")
     known = c("_factor").isNotNull()
 
     def filled(name: str, source: str):
@@ -115,17 +134,19 @@ def finish(df: DataFrame, prediction: str = "predicted_revenue") -> DataFrame:
 
 def score(records: DataFrame, predict: Callable[[DataFrame], DataFrame], people: DataFrame, roi: DataFrame,
           lexicon: DataFrame, references: DataFrame | None = None) -> DataFrame:
-    """Records to predictions.  ``predict`` adds ``base_prediction``.
+    """Records to predictions, one per record.  ``predict`` adds ``base_prediction``.
 
-    Only text-derived lookups shuffle; every rule is a projection.
+    ``movie_id`` may repeat, be NULL or be absent: what is derived from a text
+    comes back to its own record by a written row number.  Only those lookups
+    shuffle; every rule is a projection.
     """
-    aligned = people_ops.sanitize(apply_social(features.align_record(records), references))
-    nlp = lexicon_ops.overview_stats(aligned.select("movie_id", "overview"), lexicon, "movie_id")
-    adjusted = nlp_adjust(aligned.join(nlp, "movie_id", "left"))
-    named = aligned.select("movie_id", "overview")
-    blended = cast_blend(adjusted, people_ops.text_cast_stats(named, people))
-    reputed = reputation_apply(blended, people_ops.reputation(named, people, roi))
-    scored = finish(adjust_prediction(predict(reputed)))
+    numbered = with_row_id(records)
+    aligned = people_ops.sanitize(apply_social(features.align_record(numbered), references))
+    texts = aligned.select(ROW, "overview")
+    nlp = lexicon_ops.overview_stats(texts, lexicon, ROW)
+    found = nlp.join(people_ops.text_people(texts, people, roi, ROW), ROW, "left")
+    adjusted = nlp_adjust(aligned.join(found, ROW, "left"))
+    scored = finish(adjust_prediction(predict(reputation_apply(cast_blend(adjusted)))))
     return scored.select(
         "movie_id", "title", "predicted_revenue", "success_class", "confidence",
         F.struct(
@@ -154,7 +175,7 @@ def predict_linear(coefficients: DataFrame) -> Callable[[DataFrame], DataFrame]:
     def predict(df: DataFrame) -> DataFrame:
         from marquee.operators.joins import salted_lookup
 
-        joined = salted_lookup(df, coefficients, ["primary_genre"], c("movie_id"))
+        joined = salted_lookup(df, coefficients, ["primary_genre"], F.struct("movie_id", "title"))
         value = F.coalesce(c("intercept") + c("slope") * c("budget"), F.lit(0.0))
         return joined.withColumn("base_prediction", value).drop("slope", "intercept")
 

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.functions import rules, text
 from marquee.operators import features, joins, lexicon, people, quantiles, similarity, stats
-from marquee.plans import final_dataset, learning
+from marquee.plans import final_dataset, learning, scoring
 from marquee.session import scratch_path
 from marquee.sources import readers, sinks
 
@@ -218,3 +219,105 @@ def test_model_beats_the_mean(spark):
 
 def test_report_schema_matches(spark):
     assert schemas.REPORT["results"].dataType.elementType == schemas.REPORT_ROW
+
+
+# --- repeated and NULL keys, damaged input, gaps ---
+
+def _lexicon(spark):
+    return spark.createDataFrame([("good", 1.9, 0.7, 0.6), ("bad", -2.5, -0.7, 0.7)],
+                                 "token string, valence double, polarity double, subjectivity double")
+
+
+def test_scoring_keeps_records_apart(spark):
+    names = "movie_id bigint, title string, overview string, primary_genre string, budget double"
+    rows = [(1, "A", "a good film", "Drama", 1e6), (1, "A", "a bad film", "Drama", 1e6), (None, "B", "a good film", "Drama", 1e6)]
+    people = spark.createDataFrame([], "person_id bigint, name string, popularity double")
+    roi = spark.createDataFrame([], "name string, roi double")
+    predict = lambda df: df.withColumn("base_prediction", F.lit(5e6))
+    for records in (spark.createDataFrame(rows, names), spark.createDataFrame(rows, names).drop("movie_id")):
+        out = scoring.score(records, predict, people, roi, _lexicon(spark)).collect()
+        felt = sorted(r.debug_info.nlp_analysis.sentiment_score for r in out)
+        assert felt == pytest.approx([-0.7, 0.7, 0.7])
+
+
+def test_scoring_takes_the_nearest_titles_signals(spark):
+    records = spark.createDataFrame([(1, "A", "silver river garden", "Drama"), (None, "B", "golden empire", "Drama")],
+                                    "movie_id bigint, title string, overview string, primary_genre string")
+    known = spark.createDataFrame([(7, "X", "silver river garden", "Drama", 9.0, 0.5, 0.5), (8, "Y", "golden empire", "Drama", 3.0, 0.2, 0.1)],
+                                  "movie_id bigint, title string, overview string, primary_genre string, "
+                                  "youtube_sentiment double, sentiment_volatility double, trend_momentum double")
+    numbered = scoring.with_row_id(records)
+    out = scoring.apply_social(numbered, known).select("title", "youtube_sentiment").collect()
+    assert {tuple(r) for r in out} == {("A", 9.0), ("B", 3.0)}
+
+
+@pytest.mark.parametrize("text, sign", [("good", 1), ("isn't good", -1), ("I don't think good", -1), ("kind of good", 0.5), ("incredibly good", 1.5)])
+def test_valence_rules(spark, text, sign):
+    comments = spark.createDataFrame([(1, "good"), (1, text), (None, text)], "id int, text string")
+    scores = lexicon.comment_scores(comments, _lexicon(spark), ["id"]).collect()
+    plain, values = 0.4404, sorted(r.compound for r in scores)
+    assert len(scores) == 3
+    if sign == -1:
+        assert values[0] == values[1] < 0
+    elif sign == 0.5:
+        assert 0 < values[0] == values[1] < plain - 0.01
+    elif sign == 1.5:
+        assert values[2] == values[1] > plain + 0.01
+
+
+def test_damaged_input_is_not_lost_silently(spark, tmp_path):
+    (tmp_path / "movies.json").write_text('{"id": 1, "title": "Zeta", "revenue": 5}\n{"id": 1, "title": "Alpha"}\n{"id": 2, "ti')
+    clips = [{"movie_id": 1, "comments": ["good"], "trailer_stats": {"viewCount": "3"}}, {"movie_id": 1, "comments": ["bad"]}]
+    (tmp_path / "trailers.json").write_text("\n".join(json.dumps(c) for c in clips))
+    (tmp_path / "articles.json").write_text('{"1": {"budget": 1.0}}\n{"1": {"budget": 2.0}}\n{"x')
+    credit = {"id": 1, "credits": {"cast": [{"name": "A", "popularity": 2.0}], "crew": []}}
+    (tmp_path / "credits.json").write_text(json.dumps(credit) + "\n" + json.dumps(credit))
+    paths = {n: str(tmp_path / f"{n}.json") for n in ("movies", "trailers", "articles", "credits", "series")}
+    with pytest.raises(Exception):
+        final_dataset.run_pipeline(spark, paths, _lexicon(spark))["final_dataset"].collect()
+    rows = final_dataset.run_pipeline(spark, paths, _lexicon(spark), bad="skip")["final_dataset"].collect()
+    assert len(rows) == 1
+    row = rows[0]
+    assert row.title == "Zeta" and row.trailer_views == 3 and row.num_cast_members == 1.0 and row.wikipedia_budget == 2.0
+    assert row.youtube_sentiment == pytest.approx(0.4404, abs=1e-4)
+    bad = final_dataset.rejected_lines(spark, paths).groupBy("source").count().collect()
+    assert {tuple(r) for r in bad} == {("movies", 1), ("articles", 1)}
+    (tmp_path / "movies.json").write_text(json.dumps([{"id": 1, "title": "A"}, {"id": 2, "title": "B"}], indent=1))
+    (tmp_path / "articles.json").write_text(json.dumps({"1": {"budget": 1.0}}, indent=1))
+    for n in ("trailers", "credits"):
+        (tmp_path / f"{n}.json").unlink()
+    whole = final_dataset.run_pipeline(spark, paths, _lexicon(spark), multiline=True)["final_dataset"].collect()
+    assert {(r.movie_id, r.wikipedia_budget) for r in whole} == {(1, 1.0), (2, 0.0)}
+
+
+def test_correlation_with_gaps(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 100.0)], "x double, revenue double")
+    cells = {(r.a, r.b): r.correlation for r in stats.correlation_matrix(df, ["x", "revenue"]).collect()}
+    assert len(cells) == 4 and cells[("x", "revenue")] == cells[("revenue", "x")] == pytest.approx(1.0)
+    assert stats.correlation_ranking(df, "revenue", ["x"]).first().importance == pytest.approx(1.0)
+
+
+def test_gaps_in_imputation_and_weights(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 0), (nan, 0), (None, 0), (3.0, 9)], "x double, revenue int")
+    assert sorted(r.x for r in features.impute_median(df, ["x"]).collect()) == [1.0, 2.0, 2.0, 3.0]
+    weights = [r.sample_weight for r in features.sample_weights(df).collect()]
+    assert sorted(weights) == pytest.approx([0.0, 0.0, 0.0, 4.0])
+    assert {r.sample_weight for r in features.sample_weights(df.limit(0).union(df.filter("revenue = 0"))).collect()} == {1.0}
+
+
+def test_repeated_and_null_keys(spark):
+    ids = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    cache = spark.createDataFrame([(2, "c")], "k int, v string")
+    got = joins.refresh_cache(ids, cache, lambda m: m.withColumn("v", F.lit("f")), "k").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "f"), (2, "c")]
+    fresh = spark.createDataFrame([(2, "x"), (2, "y"), (None, "z")], "k int, v string")
+    assert [tuple(r) for r in joins.enrich_overwrite(cache, fresh, "k", ["v"]).collect()] == [(2, "y")]
+
+
+def test_rules_with_nulls(spark):
+    row = spark.range(1).select(
+        rules.franchise_factor(text.is_franchise(F.lit(None).cast("string")), F.lit("Drama"), F.lit(5.0), F.lit(1.0)).alias("f"),
+        rules.outcome_class(F.lit(5.0), F.lit(None).cast("double"), F.lit(0)).alias("c"),
+        text.extract_names(F.lit("\tAnn Lee - lead")).alias("n")).first()
+    assert (row.f, row.c, row.n) == (1.0, "Unknown", ["Ann Lee"])
