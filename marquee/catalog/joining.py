@@ -200,11 +200,13 @@ def _tokens_sql(expression):
             f"lambda w: length(w) > 2 AND NOT list_contains({_STOP}, w)))")
 
 
-_SIMILAR = f"""
+def similar_sql(asked: str) -> str:
+    """Common table expressions ending in ``matched``: the nearest of ``refs`` for every row of ``asked``."""
+    return f"""
     r AS (SELECT movie_id AS id, lower(trim(primary_genre)) AS g, title, youtube_sentiment, sentiment_volatility,
             trend_momentum, {_tokens_sql("coalesce(title, '') || ' ' || coalesce(overview, '')")} AS toks FROM refs),
     q AS (SELECT movie_id AS id, lower(trim(primary_genre)) AS g,
-            {_tokens_sql("title || ' ' || overview")} AS toks FROM asked),
+            {_tokens_sql("coalesce(title, '') || ' ' || coalesce(overview, '')")} AS toks FROM {asked}),
     placed AS (SELECT q.id, q.toks, CASE WHEN EXISTS (SELECT 1 FROM r WHERE r.g = q.g) THEN q.g ELSE '' END AS blk FROM q),
     rt AS (SELECT id, g, unnest(toks) AS tok FROM r), qt AS (SELECT id, blk, unnest(toks) AS tok FROM placed),
     shared AS (SELECT qt.id AS qid, rt.id AS rid, count(*) AS n FROM qt JOIN rt
@@ -219,6 +221,9 @@ _SIMILAR = f"""
       FROM placed p LEFT JOIN best ON qid = p.id)"""
 
 
+_SIMILAR = similar_sql("asked")
+
+
 @query("similar_title", ctes="refs asked", sql=f"WITH {_SIMILAR} SELECT movie_id, match_id, score, kind FROM matched")
 def similar_title(spark, sf):
     return similarity.most_similar(b.asked(spark, sf), b.references(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee import bindings as b
-from marquee.catalog.joining import _FACTS_SQL, _TREND, _article_facts
+from marquee.catalog.joining import _FACTS_SQL, _TREND, _article_facts, similar_sql
 from marquee.catalog.registry import query
 from marquee.catalog.texts import BEST_CTE, NAMES_CTE, OVERVIEW_CTE, REPUTATION_CTE, SENTIMENT_CTE, _cues_sql
 from marquee.functions import fixed, rules, text
@@ -260,10 +260,14 @@ def _clip(name):
     return f"CASE WHEN {inner} <= {low}e0 THEN {default}e0 ELSE {inner} END AS {name}"
 
 
+_SOCIAL = f"""
+    social AS (WITH {similar_sql('records')}
+      SELECT rec.* REPLACE ({", ".join(f"coalesce(r.{n}, {d}e0) AS {n}" for n, (d, _, _) in fixed.SOCIAL_BOUNDS.items())})
+      FROM records rec JOIN matched m ON m.movie_id = rec.movie_id JOIN r ON r.id = m.match_id)"""
 _SCORE_SQL = f"""
-    WITH {REPUTATION_CTE.replace(NAMES_CTE + ', ' + BEST_CTE, _FOUND)}, {OVERVIEW_CTE}, {_SCORED_TEXT},
+    WITH {REPUTATION_CTE.replace(NAMES_CTE + ', ' + BEST_CTE, _FOUND)}, {OVERVIEW_CTE}, {_SCORED_TEXT}, {_SOCIAL},
     clean AS (SELECT * REPLACE ({", ".join(_clip(n) for n in fixed.SOCIAL_BOUNDS)},
-        {", ".join(f"{_bounded(n, n)} AS {n}" for n in fixed.PEOPLE_BOUNDS)}) FROM records),
+        {", ".join(f"{_bounded(n, n)} AS {n}" for n in fixed.PEOPLE_BOUNDS)}) FROM social),
     felt AS (SELECT c.* REPLACE ({_NLP}), p FROM clean c LEFT JOIN nlp USING (movie_id)),
     blended AS (SELECT f.* REPLACE ({", ".join(f"{_bounded(e, n)} AS {n}" for n, e in _BLENDED.items())})
       FROM felt f LEFT JOIN found_stats USING (movie_id)),
@@ -282,11 +286,11 @@ def _score(spark, sf):
     # Fitted and looked-up sides are written once, so a micro-batch reads them and derives nothing.
     predict = scoring.predict_linear(materialise(scoring.linear_by_genre(b.facts(spark, sf)), "coefficients"))
     known, returns = materialise(b.people(spark, sf), "people"), materialise(b.roi(spark, sf), "returns")
-    words = b.lexicon(spark)
-    return lambda records: scoring.score(records, predict, known, returns, words)
+    words, titles = b.lexicon(spark), b.references(spark, sf)
+    return lambda records: scoring.score(records, predict, known, returns, words, titles)
 
 
-@query("score_batch", ctes="records coefficients base people roi lexicon", sql=_SCORE_SQL + """,
+@query("score_batch", ctes="records coefficients base people roi lexicon refs", sql=_SCORE_SQL + """,
       round(avg_cast_popularity, 6) AS avg_cast_popularity, round(star_power_score, 6) AS star_power_score,
       CASE WHEN p IS NULL THEN NULL WHEN p > 0.1e0 THEN 'Positive' WHEN p < -0.1e0 THEN 'Negative' ELSE 'Neutral' END
         AS sentiment_label FROM done""")
@@ -299,7 +303,7 @@ def score_batch(spark, sf):
         c("debug_info.nlp_analysis.sentiment_label").alias("sentiment_label"))
 
 
-@query("stream_scoring", ctes="records coefficients base people roi lexicon", sql=_SCORE_SQL + " FROM done")
+@query("stream_scoring", ctes="records coefficients base people roi lexicon refs", sql=_SCORE_SQL + " FROM done")
 def stream_scoring(spark, sf):
     source, sink = scratch_path(spark, "records-in"), scratch_path(spark, "predictions-out")
     incoming = b.records(spark, sf).select("movie_id", *[name for name, _, _ in fixed.RECORD_FIELDS])
