@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from marquee import bindings as b
 from marquee.catalog.registry import query
 from marquee.functions import scalars
-from marquee.operators import features, stats
+from marquee.operators import features, people, stats
 from marquee.plans import learning
 from marquee.session import materialise, scratch_path
+from marquee.sources import readers, sinks
 
 c = F.col
 
@@ -108,3 +109,45 @@ def ml_text_quality(spark, sf):
     ready = materialise(texts, "labelled")
     model = learning.fit(ready, learning.classifiers()["logistic"], vocabulary=200)
     return learning.predict(model, ready).select("movie_id", "split", "label", "predicted")
+
+
+def _people_stats(spark, sf):
+    """Cached figures for closed orders, and a source of the others."""
+    figures = people.stats_v2(b.credits(spark, sf))
+    closed = b.table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(c("o_orderkey").alias("movie_id"))
+    return figures.join(closed, "movie_id", "left_semi"), lambda missing: missing.join(figures, "movie_id")
+
+
+@query("enriched_titles", ctes="facts credits", sql="""
+    WITH s AS (SELECT movie_id, CAST(count_if(role = 'cast') AS DOUBLE) AS n,
+        coalesce(max(popularity) FILTER (role = 'cast' AND popularity > 0), 0e0) AS peak FROM credits GROUP BY 1)
+    SELECT f.movie_id, coalesce(n, 0e0) AS num_cast_members, coalesce(peak, 0e0) AS max_cast_popularity,
+      CASE WHEN trim(overview) IN ('', '0') THEN 'A ' || lower(primary_genre) || ' film.' ELSE overview END AS overview,
+      round(popularity * 0.3e0 + vote_count * 0.001e0 + trailer_views * 0.00001e0 + trailer_likes * 0.001e0, 6) AS hype_score
+    FROM facts f LEFT JOIN s USING (movie_id)""")
+def enriched_titles(spark, sf):
+    out = learning.enriched_titles(b.facts(spark, sf), *_people_stats(spark, sf))
+    return out.select("movie_id", "num_cast_members", "max_cast_popularity", "overview",
+                      F.round("hype_score", 6).alias("hype_score"))
+
+
+@query("ml_enrich_retrain")
+def ml_enrich_retrain(spark, sf):
+    name, table = learning.enrich_retrain(b.facts(spark, sf), *_people_stats(spark, sf), scratch_path(spark, "retrained"))
+    return table.withColumn("model", F.lit(name))
+
+
+@query("scorecard_from_report", ctes="pred", sql="""
+    SELECT 'stored validation report' AS model_type, count(*) AS total_movies, CAST(36 AS INTEGER) AS total_features,
+      CAST(NULL AS DOUBLE) AS r2_score, round(sqrt(avg((actual - predicted) * (actual - predicted))), 0) AS rmse,
+      round(avg(abs(actual - predicted)), 0) AS mae, round(avg(pred_error), 1) AS overall_mape,
+      (SELECT round(avg(pred_error), 1) FROM (SELECT * FROM pred ORDER BY actual DESC, title, predicted LIMIT 50)) AS top50_mape
+    FROM pred""")
+def scorecard_from_report(spark, sf):
+    row = F.struct("title", c("actual").cast("double").alias("actual_revenue"),
+                   c("predicted").alias("predicted_revenue"), c("pred_error").alias("error_percentage"))
+    stored = b.predictions(spark, sf).select(
+        F.lit(1).cast("bigint").alias("total_count"), F.array(row).alias("results"))
+    report = readers.read_report(spark, sinks.write_json(stored, scratch_path(spark, "stored-report")))
+    total = b.table(spark, sf, "orders").agg(F.count("*").alias("n"))
+    return learning.scorecard_from_report(report, total, 36).drop("feature_groups")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import fixed, scalars
-from marquee.operators import stats
+from marquee.operators import features, joins, stats
 from marquee.session import materialise
 
 
@@ -189,3 +189,45 @@ def scorecard(metrics: DataFrame, topk: DataFrame, model_type: str, total_featur
         F.round("rmse", 0).alias("rmse"), F.round("mae", 0).alias("mae"),
         F.round("mape", 1).alias("overall_mape"), F.round(topk.select("topk_mape").scalar(), 1).alias("top50_mape"),
         groups.alias("feature_groups"))
+
+
+def scorecard_from_report(report: DataFrame, total_movies: DataFrame, total_features: int, top: int = 50) -> DataFrame:
+    """The scorecard of a stored validation report: no R2, the top rows' error as stored.
+
+    ``report`` has title, actual_revenue, predicted_revenue, error_percentage;
+    ``total_movies`` one row with the number of titles known.
+    """
+    best = report.orderBy(F.desc("actual_revenue"), "title", "predicted_revenue").limit(top)
+    metrics = stats.regression_metrics(report, "actual_revenue", "predicted_revenue")
+    card = scorecard(metrics.withColumn("r2", F.lit(None).cast("double")),
+                     best.agg(F.avg("error_percentage").alias("topk_mape")), "stored validation report", total_features)
+    return card.withColumn("total_movies", total_movies.scalar())
+
+
+def enriched_titles(titles: DataFrame, cached_stats: DataFrame, fetch_stats) -> DataFrame:
+    """Titles with people's figures refreshed, absent overviews filled, hype and weights recomputed.
+
+    ``cached_stats`` has one row of people's figures per known title;
+    ``fetch_stats`` gives such rows for the ids that it lacks.
+    """
+    fresh = joins.refresh_cache(titles.select("movie_id"), cached_stats, fetch_stats, "movie_id")
+    columns = [n for n in fixed.PEOPLE_FEATURES if n in fresh.columns]
+    have = titles.withColumns({n: F.lit(0.0) for n in columns if n not in titles.columns})
+    overwritten = joins.enrich_overwrite(have.withColumns({n: F.col(n).cast("double") for n in columns}), fresh, "movie_id", columns)
+    described = overwritten.withColumns({
+        "overview": scalars.overview_or_default(F.col("overview"), F.col("primary_genre")),
+        "hype_score": scalars.hype_score(F.col("popularity"), F.col("vote_count"), F.col("trailer_views"),
+                                         F.col("trailer_likes"))})
+    return features.sample_weights(described)
+
+
+def enrich_retrain(titles: DataFrame, cached_stats: DataFrame, fetch_stats, path: str,
+                   candidates: dict | None = None, top: int = 20) -> tuple[str, DataFrame]:
+    """Refresh, train the weighted candidates, save the best at ``path``; its name and the error of the ``top`` titles."""
+    ready = with_split(materialise(enriched_titles(titles, cached_stats, fetch_stats), "enriched"))
+    name, model, _ = select_best_regressor(ready, candidates or regressors(weight="sample_weight"))
+    save(model, path)
+    largest = ready.orderBy(F.desc("revenue"), "movie_id").limit(top)
+    scored = predict(model, largest)
+    return name, scored.select("movie_id", "title", "revenue", "predicted", scalars.error_pct(
+        F.col("revenue").cast("double"), F.col("predicted")).alias("error_percentage"))
