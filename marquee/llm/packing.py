@@ -50,7 +50,7 @@ class Encoder:
     (up to ``limit`` chunks).  Only the library's model decides on ids.
     """
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
