@@ -87,3 +87,14 @@ def map_texts(docs, make, columns: str):
                  *(pa.array(p, f.type) for p, f in zip(parts, list(arrow)[1:]))], schema=arrow)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+
+
+#: Keys up to which a key set is sent to every executor (about 50 MB); beyond, both sides are shuffled.
+FEW_KEYS = 2_000_000
+
+
+def few(keys, rows: int | None = None):
+    """``keys`` (few narrow columns, written before) marked for broadcast where its counted rows allow it."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(keys) if (keys.count() if rows is None else rows) <= FEW_KEYS else keys
