@@ -183,7 +183,9 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, block_rows: int =
     dealt = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int").alias("block")).repartition("block")
-    words = dealt.select("block", F.explode(word_column(F.col("text"))).alias("word")).distinct()
+    # The empty piece of the id makes both readers want the same columns, so that they share one shuffle.
+    nothing = F.coalesce(F.substring(F.col("doc_id").cast("string"), 1, 0), F.lit(""))
+    words = dealt.select("block", F.explode(word_column(F.concat("text", nothing))).alias("word")).distinct()
     known = encode_words(words, vocabulary, ["block"]).withColumnRenamed("block", "of_block")
 
     def assemble(_, texts, table):
