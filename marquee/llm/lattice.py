@@ -110,21 +110,34 @@ def lattices(words: DataFrame, vocabulary: Vocabulary, keys: list[str]) -> DataF
     return edges.groupBy(*keys, "word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
 
-def _fold_bpe(edges: Column, length: Column) -> Column:
-    """Ends of the symbols: ``next[i]`` is the end of the symbol that starts at i, or 0 where none starts."""
+def _once(value: Column, body) -> Column:
+    """``body(value)``, the value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _ranked(edges: Column) -> Column:
+    """The edges of two or more characters as (rank, start, end): the order of merges is best score, then leftmost."""
     long = F.filter(edges, lambda e: (e["end"] > e["start"] + 1) & e["id"].isNotNull())
-    # Merges in the order of the file: best score, then leftmost.
-    ranked = F.transform(long, lambda e: F.struct((-e["score"]).alias("rank"), e["start"].alias("start"), e["end"].alias("end")))
+    return F.transform(long, lambda e: F.struct((-e["score"]).alias("rank"), e["start"].alias("start"), e["end"].alias("end")))
+
 
+def _fold_bpe(ranked: Column, length: Column) -> Column:
+    """Ends of the symbols: ``next[i]`` is the end of the symbol that starts at i, or 0 where none starts."""
     def merge(ends, _):
-        middle = lambda e: F.get(ends, e["start"])
-        best = F.array_min(F.filter(ranked, lambda e: (middle(e) > 0) & (middle(e) < e["end"]) & (F.get(ends, middle(e)) == e["end"])))
-        return F.when(best.isNull(), ends).otherwise(
-            F.transform(ends, lambda x, i: F.when(i == best["start"], best["end"]).when(
-                i == F.get(ends, best["start"]), F.lit(0)).otherwise(x)))
+        def joins(e):
+            middle = F.get(ends, e["start"])  # cheaper read again than bound
+            return (middle > 0) & (middle < e["end"]) & (F.get(ends, middle) == e["end"])
+
+        def apply(best):
+            return _once(F.get(ends, best["start"]), lambda middle: F.transform(ends, lambda x, i: F.when(
+                i == best["start"], best["end"]).when(i == middle, F.lit(0)).otherwise(x)))
+
+        return _once(F.array_min(F.filter(ranked, joins)), lambda best: F.when(best.isNull(), ends).otherwise(apply(best)))
 
     single = F.sequence(F.lit(1), length)
-    return F.when(F.size(ranked) == 0, single).otherwise(F.aggregate(F.sequence(F.lit(2), length), single, merge))
+    # No more merges than characters less one, nor than edges.
+    steps = F.least(length - 1, F.size(ranked))
+    return F.when(steps < 1, single).otherwise(F.aggregate(F.sequence(F.lit(1), steps), single, merge))
 
 
 def _fold_viterbi(edges: Column, length: Column, unknown: float) -> Column:
@@ -153,9 +166,10 @@ def _fold_viterbi(edges: Column, length: Column, unknown: float) -> Column:
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary, keys: list[str]) -> DataFrame:
     """(keys, word, ids) of distinct non-empty words."""
-    lattice = lattices(words, vocabulary, keys)
-    length = F.char_length("word")
-    ends = (_fold_bpe(F.col("edges"), length) if vocabulary.kind == "bpe"
+    # Columns of their own, so that a fold does not compute them at every step.
+    lattice = lattices(words, vocabulary, keys).withColumns({"ranked": _ranked(F.col("edges")), "length": F.char_length("word")})
+    length = F.col("length")
+    ends = (_fold_bpe(F.col("ranked"), length) if vocabulary.kind == "bpe"
             else _fold_viterbi(F.col("edges"), length, vocabulary.unknown))
     # A symbol's id; a character without a piece keeps its place as NULL and becomes bytes.
     spans = F.filter(F.transform(F.col("ends"), lambda e, s: F.struct(s.alias("start"), e.alias("end"))), lambda x: x["end"] > 0)
