@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from marquee.llm.registry import documents, query
 
 MARK = "▁"
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 1_024
 #: Below every score, as the library sets it for characters without a piece.
 UNKNOWN = 10.0
 
@@ -196,7 +196,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, block_rows: int =
     blocks = max(1, math.ceil(docs.count() / block_rows))
     dealt = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int").alias("block")).repartition("block")
+        F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int").alias("block")).repartition(blocks, "block")
     # The empty piece of the id makes both readers want the same columns, so that they share one shuffle.
     nothing = F.coalesce(F.substring(F.col("doc_id").cast("string"), 1, 0), F.lit(""))
     words = dealt.select("block", F.explode(word_column(F.concat("text", nothing))).alias("word")).distinct()
