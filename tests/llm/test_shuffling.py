@@ -167,6 +167,28 @@ def test_planted_passages(spark, none):
     assert chaining.drop_passages(none).count() == 0 and chaining.passage_report(none).count() == 0
 
 
+def noise(rng, n):
+    return " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+
+
+def pairs_found(spark, rows):
+    return {frozenset((r.doc_id, r.other_doc_id)) for r in chaining.passage_report(table(spark, rows)).collect()}
+
+
+def test_passages_of_blocks_that_others_hold_apart(spark):
+    rng, rows, want = random.Random(12), [], set()
+    for case in range(12):
+        sizes = ((40, 40), (45, 45), (30, 30, 30), (48, 2))[case % 4]
+        blocks = [noise(rng, n) for n in sizes]
+        whole = " ".join(blocks)
+        both = (20 * case, 20 * case + 1)
+        rows += [(k, f"{noise(rng, 50)} {whole} {noise(rng, 50)}") for k in both]
+        want.add(frozenset(both))
+        for k in range(5):  # several hold the blocks apart, the other way round
+            rows.append((20 * case + 2 + k, " ".join(f"{noise(rng, 30)} {b}" for b in blocks[::-1]) + " " + noise(rng, 30)))
+    assert pairs_found(spark, rows) == want
+
+
 def test_passages_of_odd_rows(odd):
     assert chaining.drop_passages(odd).count() == len(ODD)
     assert chaining.passage_report(odd).count() == 0
