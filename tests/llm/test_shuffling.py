@@ -189,6 +189,16 @@ def test_passages_of_blocks_that_others_hold_apart(spark):
     assert pairs_found(spark, rows) == want
 
 
+def test_passages_of_repeated_wording(spark):
+    rng, rows, want = random.Random(13), [], set()
+    for period in range(1, 15):
+        line = noise(rng, period)
+        shared = " ".join([line] * (120 // period + 1))
+        rows += [(2 * period + k, f"{noise(rng, 60)} {shared} {noise(rng, 60)}") for k in (0, 1)]
+        want.add(frozenset((2 * period, 2 * period + 1)))
+    assert pairs_found(spark, rows) == want
+
+
 def test_passages_of_odd_rows(odd):
     assert chaining.drop_passages(odd).count() == len(ODD)
     assert chaining.passage_report(odd).count() == 0
