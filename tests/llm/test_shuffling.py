@@ -199,6 +199,20 @@ def test_passages_of_repeated_wording(spark):
     assert pairs_found(spark, rows) == want
 
 
+def test_recall_of_changed_passages(spark):
+    """Against comparing the pairs themselves, at the least identity that is a passage."""
+    rng, rows, want, hashes = random.Random(14), [], set(), WordHashes()
+    for n, share in ((55, 0.15), (60, 0.15), (60, 0.19), (70, 0.19), (90, 0.19)):
+        for _ in range(40):
+            shared = noise(rng, n)
+            both = [f"{noise(rng, 40)} {x} {noise(rng, 40)}" for x in (shared, changed(shared, len(rows), round(n * share)))]
+            if chaining.passages(*(hashes.of(words(t)) for t in both)):
+                want.add(frozenset((len(rows), len(rows) + 1)))
+            rows += enumerate(both, len(rows))
+    found = pairs_found(spark, rows)
+    assert len(want) > 60 and found <= want and len(found) >= 0.98 * len(want)
+
+
 def test_passages_of_odd_rows(odd):
     assert chaining.drop_passages(odd).count() == len(ODD)
     assert chaining.passage_report(odd).count() == 0
