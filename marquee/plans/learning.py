@@ -50,33 +50,47 @@ def model_frame(df: DataFrame) -> tuple[DataFrame, list[str], list[str], str | N
     return df.withColumns(casts), numeric, categorical, text
 
 
-def regressors(label: str = "revenue", weight: str | None = None, trees: int = 100, depth: int = 8,
-               rounds: int = 40, seed: int = 42) -> dict:
+#: MLlib's deepest tree, where the reference sets no depth.
+DEEPEST = 30
+
+
+def regressors(label: str = "revenue", weight: str | None = None, trees: int = 100, depth: int = DEEPEST,
+               rounds: int = 100, boosted_depth: int = 6, step: float = 0.3, subsample: float = 1.0,
+               least_rows: int = 1, seed: int = 42) -> dict:
     """Candidate regressors, in tie-breaking order."""
     weighted = {"weightCol": weight} if weight else {}
     return {
         "linear": LinearRegression(labelCol=label, **weighted),
         "random_forest": RandomForestRegressor(
-            labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=3, seed=seed, **weighted),
+            labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=least_rows, seed=seed, **weighted),
         "boosted": GBTRegressor(
-            labelCol=label, maxIter=rounds, stepSize=0.08, maxDepth=5, subsamplingRate=0.8, seed=seed, **weighted),
+            labelCol=label, maxIter=rounds, stepSize=step, maxDepth=boosted_depth, subsamplingRate=subsample, seed=seed,
+            **weighted),
     }
 
 
-def classifiers(label: str = "label", trees: int = 100, depth: int = 8, rounds: int = 10, seed: int = 42) -> dict:
+def retraining_regressors(label: str = "revenue", weight: str | None = "sample_weight") -> dict:
+    """The larger candidates of the retraining."""
+    return regressors(label, weight, trees=300, depth=20, rounds=300, boosted_depth=10, step=0.08, subsample=0.8,
+                      least_rows=3)
+
+
+def classifiers(label: str = "label", trees: int = 100, depth: int = DEEPEST, rounds: int = 100, boosted_depth: int = 6,
+                step: float = 0.3, seed: int = 42) -> dict:
     """Candidate classifiers, in tie-breaking order."""
     return {
-        "logistic": LogisticRegression(labelCol=label, family="multinomial", maxIter=100),
+        "logistic": LogisticRegression(labelCol=label, family="multinomial", maxIter=1000),
         "random_forest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed),
-        "boosted": OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=4, seed=seed), labelCol=label),
+        "boosted": OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=boosted_depth, stepSize=step, seed=seed),
+                             labelCol=label),
     }
 
 
-def early_stopping_boosted(label: str, holdout: str, rounds: int = 100, tolerance: float = 0.01,
-                           seed: int = 42) -> GBTRegressor:
+def early_stopping_boosted(label: str, holdout: str, rounds: int = 300, depth: int = 8, step: float = 0.05,
+                           tolerance: float = 0.01, seed: int = 42) -> GBTRegressor:
     """Boosting that stops once the rows marked in ``holdout`` no longer improve."""
     return GBTRegressor(
-        labelCol=label, maxIter=rounds, stepSize=0.05, maxDepth=5, subsamplingRate=0.8, seed=seed,
+        labelCol=label, maxIter=rounds, stepSize=step, maxDepth=depth, subsamplingRate=0.8, seed=seed,
         validationIndicatorCol=holdout, validationTol=tolerance)
 
 
@@ -225,7 +239,7 @@ def enrich_retrain(titles: DataFrame, cached_stats: DataFrame, fetch_stats, path
                    candidates: dict | None = None, top: int = 20) -> tuple[str, DataFrame]:
     """Refresh, train the weighted candidates, save the best at ``path``; its name and the error of the ``top`` titles."""
     ready = with_split(materialise(enriched_titles(titles, cached_stats, fetch_stats), "enriched"))
-    name, model, _ = select_best_regressor(ready, candidates or regressors(weight="sample_weight"))
+    name, model, _ = select_best_regressor(ready, candidates or retraining_regressors())
     save(model, path)
     largest = ready.orderBy(F.desc("revenue"), "movie_id").limit(top)
     scored = predict(model, largest)

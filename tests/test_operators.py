@@ -217,6 +217,15 @@ def test_model_beats_the_mean(spark):
     assert top.feature == "budget" and top.importance > 0.5
 
 
+def test_model_sizes_are_the_references(spark):
+    size = lambda m: (m.getMaxIter() if hasattr(m, "getMaxIter") else m.getNumTrees(), m.getMaxDepth())
+    plain, large, kinds = learning.regressors(), learning.retraining_regressors(), learning.classifiers()
+    assert [size(m[k]) for m in (plain, large) for k in ("random_forest", "boosted")] == [
+        (100, 30), (100, 6), (300, 20), (300, 10)]
+    assert size(kinds["random_forest"]) == (100, 30) and size(kinds["boosted"].getClassifier()) == (100, 6)
+    assert kinds["logistic"].getMaxIter() == 1000 and size(learning.early_stopping_boosted("y", "held")) == (300, 8)
+
+
 def test_report_schema_matches(spark):
     assert schemas.REPORT["results"].dataType.elementType == schemas.REPORT_ROW
 
