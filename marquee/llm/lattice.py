@@ -218,7 +218,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, block_rows: int =
 
 
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, text of (doc_id, ids): the bytes of the pieces, marks as blanks, without the first blank.
+    """doc_id, ids, text of (doc_id, ids): the bytes of the pieces, marks as blanks, without the first blank.
 
     Ids outside the vocabulary and broken UTF-8 raise no error: they give the replacement character.
     """
@@ -234,9 +234,10 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 raw = b"".join([known.get(i, b"\xef\xbf\xbd") for i in ids or []])
                 text = raw.decode("utf-8", "replace").replace(MARK, " ")
                 out.append(text[1:] if text.startswith(" ") else text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.string())],
+                                             names=["doc_id", "ids", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
 def vocabulary_path() -> str:
@@ -247,8 +248,9 @@ def vocabulary_path() -> str:
 
 @query("op8_piece_lattice")
 def op8(spark, sf):
-    """Every document in pieces: their number, and a checksum and digest of the ids in order."""
-    encoded = encode_documents(documents(spark, sf), read_vocabulary(vocabulary_path()))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"),
+    """Every document in pieces and back: the ids, their number and digest, and the text that they decode to."""
+    vocabulary = read_vocabulary(vocabulary_path())
+    decoded = decode_documents(encode_documents(documents(spark, sf), vocabulary), vocabulary)
+    return decoded.select("doc_id", "ids", "text", F.size("ids").cast("long").alias("n_pieces"),
                           F.xxhash64("ids").alias("ids_hash"), F.array_min("ids").alias("least_id"),
                           F.array_max("ids").alias("greatest_id"))

@@ -302,6 +302,16 @@ def test_pieces_equal_the_library(spark, vocabulary, odd, none):
     assert lattice.encode_documents(few, vocabulary).count() == few.count()
 
 
+def test_pieces_query_returns_ids_and_decoded_texts(spark, tmp_path):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=lattice.vocabulary_path())
+    table(spark, [*enumerate(TEXTS), (None, "no id"), (100, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in lattice.op8(spark, str(tmp_path)).collect()}
+    assert got[None].text == "no id" and (got[100].ids, got[100].text) == ([], "") and len(got) == len(TEXTS) + 2
+    assert all(list(got[k].ids) == library.encode(t) and got[k].text == t.replace("▁", " ") for k, t in enumerate(TEXTS))
+
+
 def test_viterbi_equals_the_library(spark, vocabulary):
     """The same pieces as a unigram model, with scores of their own."""
     import sentencepiece
