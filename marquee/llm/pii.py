@@ -40,6 +40,7 @@ NUMBER = re.compile(r"\+?\(?[0-9](?:[ ().:/_-]{0,2}[0-9])+")
 HOST = re.compile(r"@[^\s@<>()\[\],;]+")
 BREAK = frozenset(" \t\n\r\f\v@<>()[],;")
 KEY_DIGITS = 7
+MOST_DIGITS = 19      # of a card; longer numbers are of no kind
 
 # Potentials (log scale).
 UNLABELLED = 2.0      # a mention that no pattern recognised
@@ -118,24 +119,43 @@ def _possible(text: str, start: int, end: int, key: str, form: str) -> list[bool
 
 
 def _skip_edges(nodes: list) -> list[tuple[int, int, float]]:
-    """Each mention with the one before it that shares its key; as many edges as mentions at most."""
+    """Each mention with the last one of the same key and the last ones that resemble it; a few edges a mention at most.
+
+    Numbers resemble each other where, without leading zeros, one's digits end the other's.
+    """
     last: dict[tuple, int] = {}
     edges = []
     for k, (_, _, key, form) in enumerate(nodes):
-        group = (form, key[-KEY_DIGITS:] if form == "number" else key.split("@")[0])
-        if group in last:
-            other = nodes[last[group]][2]
-            if other == key:
-                edges.append((last[group], k, SAME))
-            elif form == "address" or other.endswith(key) or key.endswith(other) or other.startswith(key) or key.startswith(other):
-                edges.append((last[group], k, ALIKE))
-        last[group] = k
-        if form == "number":
-            # An address with a port: its leading digits repeat an earlier mention.
-            head = (form, "head", key[:KEY_DIGITS])
-            if head in last and last[head] != k and key.startswith(nodes[last[head]][2]):
-                edges.append((last[head], k, ALIKE))
-            last[head] = k
+        linked = set()
+
+        def link(place, weight):
+            if place in last and last[place] not in linked:
+                linked.add(last[place])
+                edges.append((last[place], k, weight))
+
+        link((form, "key", key), SAME)
+        last[form, "key", key] = k
+        if form == "address":
+            group = (form, "local", key.split("@")[0])
+            link(group, ALIKE)
+            last[group] = k
+            continue
+        digits = key.lstrip("0")
+        ends = [digits[-n:] for n in range(KEY_DIGITS, min(len(digits), MOST_DIGITS) + 1)]
+        if ends:
+            link((form, "ends", digits), ALIKE)
+            before = [last[form, "whole", e] for e in ends if (form, "whole", e) in last]
+            if before:
+                last[form, "near", digits] = max(before)
+                link((form, "near", digits), ALIKE)
+            last[form, "whole", digits] = k
+            for e in ends:
+                last[form, "ends", e] = k
+        # An address with a port: its leading digits repeat an earlier mention.
+        head = (form, "head", key[:KEY_DIGITS])
+        if head in last and key.startswith(nodes[last[head]][2]):
+            link(head, ALIKE)
+        last[head] = k
     return edges
 
 

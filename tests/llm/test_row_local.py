@@ -190,6 +190,17 @@ def test_field_carries_labels_to_repeats_only():
     assert pii.masked(text).startswith("card <CARD> and <CARD>; tel <PHONE>, <PHONE>; other 7845559999")
 
 
+def test_field_reaches_national_forms_and_past_unlike_numbers():
+    def added(text):
+        return [text[a:b] for _, a, b in pii.find(text)[1]]
+
+    assert added("call +49 170 1234567 or 0170 1234567") == ["0170 1234567"]
+    assert added("call 0170 1234567 or +49 170 1234567") == ["0170 1234567"]
+    # Unlike numbers with the same last seven digits in between.
+    assert added("call +49 170 1234567, not 99 881 1234567, or 49 170 1234567") == ["49 170 1234567"]
+    assert added("call +49 170 1234567, not 99 881 1234567, or 0170 1234567") == ["0170 1234567"]
+
+
 def test_digest(spark, odd, none):
     text = "é a.b@c.de 10.2.3.4"
     row = table(spark, [(1, text)]).transform(lambda d: pii.find_personal_data(d)).select(
