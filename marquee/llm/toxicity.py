@@ -63,18 +63,17 @@ def score_text(text: str | None, model: Model, memory: _Weights | None = None) -
     memory = memory if memory is not None else _Weights(model.weights)
     log_clean, offending, n = 0.0, [], 0
     quiet = math.log1p(math.exp(model.bias))  # -log(1 - sigmoid(bias))
-    low = (text or "").lower()
-    same = len(low) == len(text or "")
-    for found in SENTENCE.finditer(low):
+    # Lower-cased one by one: that may change a sentence's length.
+    for found in SENTENCE.finditer(text or ""):
         n += 1
-        weight = sum(map(memory.__getitem__, WORD.findall(found.group())))
+        weight = sum(map(memory.__getitem__, WORD.findall(found.group().lower())))
         if weight == 0.0:
             log_clean -= quiet
             continue
         z = max(-30.0, min(30.0, model.bias + weight))
         log_clean -= math.log1p(math.exp(z))
         p = 1 / (1 + math.exp(-z))
-        if p >= 0.5 and same:
+        if p >= 0.5:
             offending.append((found.start(), found.end(), p))
     return -math.expm1(log_clean), n, offending
 
@@ -103,7 +102,7 @@ def _bags(docs: DataFrame, toxic_of: dict[int, int]) -> DataFrame:
         seen = (Counter(), Counter())
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                bag = {f for w in set(WORD.findall((text or "").lower())) for f in features(w)}
+                bag = {f for part in SENTENCE.findall(text or "") for w in WORD.findall(part.lower()) for f in features(w)}
                 seen[toxic_of[int(doc_id)]].update(bag)
         names = list(seen[0].keys() | seen[1].keys())
         for i in range(0, len(names), 50_000):
@@ -145,9 +144,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_SAMPLE) -> Model:
         for batch in batches:
             out = []
             for text in batch["text"]:
-                low, sentences, quiet = (text or "").lower(), [], 0
-                for part in SENTENCE.findall(low):
-                    hits = {number[f] for w in WORD.findall(part) for f in features(w) if f in number}
+                sentences, quiet = [], 0
+                for part in SENTENCE.findall(text or ""):
+                    hits = {number[f] for w in WORD.findall(part.lower()) for f in features(w) if f in number}
                     if hits:
                         sentences.append(sorted(hits))
                     else:

@@ -135,6 +135,12 @@ def test_held_out_accuracy_and_location(insulted):
     assert clean == {r.doc_id for r in out if r.score < 0.5}
 
 
+def test_spans_where_lower_case_is_longer():
+    text = "\u0130\u0130stanbul is large. You VILLAIN! Good day."
+    score, n, found = toxicity.score_text(text, toxicity.Model(-6.0, {"villain": 12.0}))
+    assert score > 0.9 and n == 3 and [text[a:b] for a, b, _ in found] == [" You VILLAIN"]
+
+
 def test_held_out_labels_are_not_used(insulted):
     docs, labels = insulted
     lies = labels.withColumn("toxic", F.when(F.expr("crc32(cast(doc_id AS string)) % 5 = 0"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
