@@ -39,17 +39,27 @@ TEMPLATES = [
      "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
      "the license you may obtain a copy of the license at [[http www apache org licenses license 2 0]] unless "
      "required by applicable law or agreed to in writing software distributed under the license is distributed on "
-     "an as is basis without warranties or conditions of any kind either express or implied"),
+     "an as is basis without warranties or conditions of any kind either express or implied see the license for the "
+     "specific language governing permissions and limitations under the license"),
     ("mit", "released under [[the terms of]] the mit license"),
     ("mit",
      "permission is hereby granted free of charge to any person obtaining a copy of {{work:1-8}} to deal in "
      "{{work:1-4}} without restriction including without limitation the rights to use copy modify merge publish "
      "distribute sublicense and or sell copies of {{work:1-4}} and to permit persons to whom {{work:1-4}} is "
      "furnished to do so subject to the following conditions the above copyright notice and this permission notice "
-     "[[including the next paragraph]] shall be included in all copies or substantial portions of {{work:1-4}}"),
+     "[[including the next paragraph]] shall be included in all copies or substantial portions of {{work:1-4}} "
+     "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+     "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+     "{{holder:1-8}} be liable for any claim damages or other liability whether in an action of contract tort or "
+     "otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("isc",
      "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-     "granted provided that the above copyright notice and this permission notice appear in all copies"),
+     "granted provided that the above copyright notice and this permission notice appear in all copies the software is "
+     "provided as is and {{holder:1-8}} disclaims all warranties with regard to this software including all implied "
+     "warranties of merchantability and fitness in no event shall {{holder:1-8}} be liable for any special direct "
+     "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in "
+     "an action of contract negligence or other tortious action arising out of or in connection with the use or "
+     "performance of this software"),
     ("cc-by-4.0", "licensed under [[a]] [[creative commons]] cc by 4 0 [[international]] [[license]]"),
     ("cc-by-nc-4.0", "licensed under [[a]] [[creative commons]] cc by nc 4 0 [[international]] [[license]]"),
     ("cc-by-sa-4.0", "licensed under [[a]] [[creative commons]] cc by sa 4 0 [[international]] [[license]]"),

@@ -53,6 +53,20 @@ def test_templates(text, found):
     assert [m[:3] for m in scanner.scan(text)[2]] == found
 
 
+def test_notices_need_their_disclaimer():
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    for label, opening, rest in (("mit", "permission is hereby", " the software is provided"),
+                                 ("isc", "permission to use", " the software is provided"),
+                                 ("apache-2.0", "licensed under the apache license version 2 0 the", " see the license")):
+        template = next(t for k, t in licenses.TEMPLATES if k == label and t.startswith(opening))
+        notice = re.sub(r"\{\{\w+:\d+-\d+\}\}", "somebody", re.sub(r"\[\[.*?\]\] ?", "", template))
+        ends = lambda text: max((m[2] for m in scanner.scan(text)[2]), default=0)
+        cut, words = notice.split(rest)[0], notice.split()
+        # The short phrase at the start of Apache's has eight words.
+        assert ends(cut) <= 8 and ends(notice) == len(words)
+        assert ends(" ".join([*words[:-5], "changed", *words[-4:]])) <= 8
+
+
 def test_replaceable_and_nested_regions():
     a = licenses.Automaton.compile("t", "a b [[c [[d]] e]] {{any:1-2}} f")
     accept = lambda s: a.accept(s.encode().split(), 0)
