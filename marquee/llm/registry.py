@@ -13,7 +13,7 @@ from marquee.session import tune
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 MODULES = ["chaining", "quantised", "licenses", "placement", "toxicity", "packing", "bagminhash", "lattice", "ledger",
-           "pii"]
+           "pii", "collocations", "interactions", "linedup"]
 
 
 def importable(spark):
