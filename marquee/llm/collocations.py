@@ -1,13 +1,13 @@
 """Phrases that occur together, by dynamic itemset counting over shards of the corpus.
 
 The corpus is written once as blocks of word numbers, dealt into shards that
-are scanned in a cycle.  Words are counted
-from the first scan on.  A longer phrase becomes active in the scan after both
-its subphrases (all words but the last, all but the first) have reached the
-threshold, and is counted for one full cycle from there, so phrases of all
-lengths are counted side by side and a phrase seen often early on does not wait
-for the end of a pass.  Its count over that cycle is exact; a phrase that never
-becomes active has a subphrase below the threshold, and so is below it itself.
+are scanned in a cycle.  Words are counted from the first scan on.  A longer
+phrase becomes active in the scan after both its subphrases (all words but the
+last, all but the first) have reached the threshold, and is counted for one full
+cycle from there, so phrases of all lengths are counted side by side and a
+phrase seen often early on does not wait for the end of a pass.  Its count over
+that cycle is exact; a phrase that never becomes active has a subphrase below
+the threshold, and so is below it itself.
 
 Tasks learn what has reached the threshold from a table of fixed size: hashed by
 phrase, it keeps the earliest scan after which any phrase of that slot had
@@ -133,7 +133,8 @@ def _active(hashes, reached, scan: int, shards: int, longest: int):
         if len(now):
             yield size, now, one, two
         after = np.full(len(start), NEVER, np.uint8)
-        after[alive] = reached[_slot(one[alive], slots)]
+        # Never before its parts: a slot may have been set early by another phrase.
+        after[alive] = np.maximum(reached[_slot(one[alive], slots)], start[alive] - 1)
         since = after
 
 
