@@ -13,7 +13,8 @@ Tasks learn what has reached the threshold from a table of fixed size: hashed by
 phrase, it keeps the earliest scan after which any phrase of that slot had
 reached it.  Two phrases in one slot can only make a third one active too early,
 alike in every task, which costs counting and changes no count.  Counts travel
-under the phrase's own words, so no hash ever stands for a phrase in a result.
+under 125 bits of the phrase's hash and its length; the words of what reached
+the threshold are looked up in one more scan.
 """
 
 from __future__ import annotations
@@ -24,57 +25,62 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.registry import documents, query
+from marquee.llm.words import few
 from marquee.session import materialise, scratch_path
 
 LONGEST = 5
-#: Entries of the table of reached phrases, one byte each: its size does not depend on the data.
+#: Entries of the table of reached phrases, one byte each: its size does not depend on the data.  A power of two.
 SLOTS = 1 << 24
-#: Words of a written block, and words that a task holds as arrays at once.
-BLOCK, CHUNK = 1 << 18, 1 << 20
+#: Bytes of text in a written block, and words that a task holds as arrays at once.
+BLOCK, CHUNK = 1 << 21, 1 << 20
 NEVER = 255
 
+_SPACE, _BREAK = 0x20, 0x0A
 # One byte per byte: A-Z to lower case, what parts pieces to a line end, tabs to spaces.
-_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x0A if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b
+_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else _BREAK if b in b".,;:!?\n\x0b\x0c\r" else _SPACE if b == 9 else b
               for b in range(256))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a text in order, a line end between pieces and after the last.  NULL has no words."""
-    folded = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD) + b"\n"
-    return list(filter(None, folded.replace(b"\n", b" \n ").split(b" ")))
+def encode(texts: list[str | None]):
+    """Distinct words of the texts (binary array) and the number of every word in order, from 1; 0 parts pieces.
 
+    Texts end with a piece, NULL has no words.
+    """
+    import numpy as np
+    import pyarrow as pa
 
-class _Numbers(dict):
-    """Word to its number in a block, in order of appearance; the line end is 0."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
+    folded = "\n".join([t or "" for t in texts]).encode("utf-8", "surrogatepass").translate(_FOLD)
+    data = np.frombuffer(folded + b"\n", np.uint8)
+    inside = (data != _SPACE) & (data != _BREAK)
+    edges = np.flatnonzero(np.diff(inside, prepend=False))  # begin, end, begin, end, ...
+    begin, end = edges[::2], edges[1::2]
+    offsets = np.zeros(len(begin) + 1, np.int32)
+    np.cumsum(end - begin, out=offsets[1:])
+    words = pa.BinaryArray.from_buffers(
+        pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
+    breaks = np.cumsum(data == _BREAK, dtype=np.int32)
+    parted = breaks[np.append(begin[1:], len(data) - 1)] > breaks[end - 1] if len(begin) else np.zeros(0, bool)
+    numbers = np.zeros(len(begin) + int(parted.sum()), np.int32)
+    numbers[np.arange(len(begin)) + np.cumsum(parted) - parted] = words.indices.to_numpy() + 1
+    return words.dictionary, numbers
 
 
 def _blocks(batches):
     """Task function: texts of one language as blocks of distinct words and of their numbers in order."""
-    import array
-
     import pyarrow as pa
 
-    def empty():
-        return _Numbers({b"\n": 0}), array.array("i")
-
-    def written(open_blocks):
-        names = list(open_blocks)
+    def written(held):
+        coded = [encode(texts) for texts in held.values()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([b"\n".join(list(open_blocks[x][0])[1:]) for x in names], pa.binary()),
-             pa.array([open_blocks[x][1].tobytes() for x in names], pa.binary())], names=["lang", "words", "numbers"])
+            [pa.array(list(held), pa.string()), pa.array([b"\n".join(w.to_pylist()) for w, _ in coded], pa.binary()),
+             pa.array([n.tobytes() for _, n in coded], pa.binary()),
+             pa.array([int((n > 0).sum()) for _, n in coded], pa.int64())], names=["lang", "words", "numbers", "n"])
 
     held, size = {}, 0
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            words = tokens(text)
-            if lang not in held:
-                held[lang] = empty()
-            held[lang][1].extend(map(held[lang][0].__getitem__, words))
-            size += len(words)
+            held.setdefault(lang, []).append(text)
+            size += len(text or "")
             if size >= BLOCK:
                 yield written(held)
                 held, size = {}, 0
@@ -83,117 +89,150 @@ def _blocks(batches):
 
 
 def _hashes(lang: str, words: list[bytes]):
-    """(words, 2) hashes within a language; of the line end (0, 0)."""
+    """(words, 2) hashes of words within a language."""
     import numpy as np
     import xxhash
 
     seed, digest = xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass")), xxhash.xxh3_128_digest
-    return np.frombuffer(b"".join([bytes(16) if w == b"\n" else digest(w, seed) for w in words]), np.uint64).reshape(-1, 2)
+    return np.frombuffer(b"".join([digest(w, seed) for w in words]), np.uint64).reshape(-1, 2)
 
 
-def _longer(hashes, size: int):
-    """Two hashes of the runs of ``size`` words that start at each word."""
+def _longer(shorter, words):
+    """The two hashes of phrases, from those of all their words but the last and those of the last."""
     import numpy as np
 
-    out = []
-    for column, odd in ((0, 0x9E3779B97F4A7C15), (1, 0xC2B2AE3D27D4EB4F)):
-        words, odd = hashes[:, column], np.uint64(odd)
-        n = max(0, len(words) - size + 1)
-        value = np.full(n, size, np.uint64)
-        for k in range(size):
-            value = (value ^ words[k:k + n]) * odd
-            value ^= value >> np.uint64(29)
-        out.append(value)
-    return out
+    value = (shorter ^ words) * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+    return value ^ (value >> np.uint64(29))
 
 
-def _slot(first, slots: int):
+def _since(hashes, reached):
+    """Scan after which each phrase's slot had reached the threshold."""
     import numpy as np
 
-    return (first % np.uint64(slots)).astype(np.int64)
+    return reached[(hashes[:, 0] & np.uint64(len(reached) - 1)).astype(np.int64)]
 
 
-def _active(hashes, reached, scan: int, shards: int, longest: int):
-    """Per length the places whose phrase is counted in this scan, and the phrases' two hashes there."""
+def _chain(ids, hashes, reached, scan: int, longest: int):
+    """Per length from 1 the places of phrases that are active by this scan, their hashes, and the scan before that one.
+
+    ``hashes`` are those of the words numbered from 1 in ``ids``.  A phrase is
+    active after both its subphrases had reached the threshold, a word always.
+    """
     import numpy as np
 
-    slots = len(reached)
-    word = hashes[:, 0] != 0
-    if scan < shards:
-        yield 1, np.flatnonzero(word), hashes[:, 0], hashes[:, 1]
-    # since[i]: scan after which the phrase of the present length at word i had reached the threshold.
-    since = np.where(word, reached[_slot(_longer(hashes, 1)[0], slots)], NEVER)
+    first = _longer(np.zeros_like(hashes), hashes)
+    alive = np.flatnonzero(ids)
+    value = first[ids[alive] - 1]
+    yield 1, alive, value, np.zeros(len(alive), np.uint8)
+    since = np.append(np.uint8(NEVER), _since(first, reached))[ids]
     for size in range(2, longest + 1):
-        start = np.maximum(since[:-1], since[1:]).astype(np.int64) + 1
-        alive = np.flatnonzero(start <= scan)
+        known = np.maximum(since[:-1], since[1:])  # scan after which both subphrases had reached it
+        alive = alive[:np.searchsorted(alive, len(known))]
+        keep = known[alive] < scan
+        alive, value = alive[keep], value[:len(keep)][keep]
         if not len(alive):
             return
-        one, two = _longer(hashes, size)
-        now = alive[scan < start[alive] + shards]
-        if len(now):
-            yield size, now, one, two
-        after = np.full(len(start), NEVER, np.uint8)
+        value = _longer(value, hashes[ids[alive + size - 1] - 1])
+        known = known[alive]
+        yield size, alive, value, known
         # Never before its parts: a slot may have been set early by another phrase.
-        after[alive] = np.maximum(reached[_slot(one[alive], slots)], start[alive] - 1)
-        since = after
+        since = np.full(len(since) - 1, NEVER, np.uint8)
+        since[alive] = np.maximum(_since(value, reached), known)
 
 
-def _counter(sent, scan: int, shards: int, longest: int):
-    """Task function: (lang, size, phrase, n) of what is active in its blocks; a phrase may come in several rows."""
-    def counted(held, reached):
-        import numpy as np
-        import pyarrow as pa
+def _keys(size: int, value):
+    """A phrase's hash as two signed longs, its length in the last three bits."""
+    import numpy as np
 
-        words = [w for _, words, _ in held for w in words]
-        shift = np.cumsum([0, *[len(w) for _, w, _ in held]])
-        ids = np.concatenate([numbers + offset for (_, _, numbers), offset in zip(held, shift)])
-        langs = np.repeat(np.arange(len(held)), [len(numbers) for *_, numbers in held])
-        hashes = np.concatenate([_hashes(lang, w) for lang, w, _ in held])[ids]
-        for size, places, one, two in _active(hashes, reached, scan, shards, longest):
-            first = one[places]
-            order = np.argsort(first, kind="stable")
-            places, first = places[order], first[order]
-            second = two[places]
-            # Equal first hashes of unlike phrases only cut a group in two.
-            new = np.flatnonzero(np.r_[len(places) > 0, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
-            at = places[new]
-            phrases = [b" ".join([words[k] for k in run]).decode("utf-8", "surrogatepass")
-                       for run in ids[at[:, None] + np.arange(size)].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([held[k][0] for k in langs[at].tolist()], pa.string()), pa.array(np.full(len(at), size, np.int32)),
-                 pa.array(phrases, pa.string()), pa.array(np.diff(np.r_[new, len(places)]), pa.int64())],
-                names=["lang", "size", "phrase", "n"])
+    keys = value.copy()
+    keys[:, 1] = (keys[:, 1] & ~np.uint64(7)) | np.uint64(size)
+    return keys.view(np.int64)
+
+
+def _distinct(places, value):
+    """One place of every phrase, and how often it stands; a phrase may come twice."""
+    import numpy as np
 
+    order = np.argsort(value[:, 0])
+    places, value = places[order], value[order]
+    # Equal first hashes of unlike phrases only cut a group in two.
+    new = np.flatnonzero(np.append(len(places) > 0, (value[1:] != value[:-1]).any(axis=1)))
+    return places[new], value[new], np.diff(np.append(new, len(places)))
+
+
+def _of_blocks(sent, work):
+    """Task function: ``work(reached, blocks)`` for as many blocks as make a chunk; a block is lang, words, numbers."""
     def run(batches):
         import numpy as np
 
         reached, held, size = np.frombuffer(sent.value, np.uint8), [], 0
         for batch in batches:
             for lang, words, numbers in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "numbers"))):
-                held.append((lang, [b"\n", *filter(None, words.split(b"\n"))], np.frombuffer(numbers, np.int32)))
-                size += len(held[-1][2])
+                if words:
+                    held.append((lang, words.split(b"\n"), np.frombuffer(numbers, np.int32)))
+                    size += len(held[-1][2])
                 if size >= CHUNK:
-                    yield from counted(held, reached)
+                    yield from work(reached, held)
                     held, size = [], 0
         if held:
-            yield from counted(held, reached)
+            yield from work(reached, held)
 
     return run
 
 
-def _slots_of(phrases: DataFrame, slots: int):
-    """The table's slots of (lang, phrase), each once: at most ``slots`` numbers, whatever the phrases."""
-    def run(batches):
+def _joined(held):
+    """Numbers of the words of all blocks as one array, and their hashes."""
+    import numpy as np
+
+    shift = np.cumsum([0, *[len(words) for _, words, _ in held]])
+    ids = np.concatenate([np.where(numbers > 0, numbers + offset, 0) for (*_, numbers), offset in zip(held, shift)])
+    return ids, np.concatenate([_hashes(lang, words) for lang, words, _ in held])
+
+
+def _counter(sent, scan: int, shards: int, longest: int):
+    """Task function: (k1, k2, n) of the phrases that are active and in their cycle; one may come in several rows."""
+    def counted(reached, held):
         import pyarrow as pa
 
-        for batch in batches:
-            out = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
-                words = phrase.encode("utf-8", "surrogatepass").split(b" ")
-                out.append(int(_slot(_longer(_hashes(lang, words), len(words))[0], slots)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32())], names=["slot"])
+        ids, hashes = _joined(held)
+        for size, places, value, known in _chain(ids, hashes, reached, scan, longest if scan else 1):
+            if size == 1:
+                now = slice(None) if scan < shards else slice(0)
+            else:
+                now = known.astype(int) + shards >= scan
+            places, value = places[now], value[now]
+            if len(places):
+                _, value, n = _distinct(places, value)
+                keys = _keys(size, value)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(n)], names=["k1", "k2", "n"])
+
+    return _of_blocks(sent, counted)
+
+
+def _namer(sent, longest: int):
+    """Task function: (k1, k2, lang, phrase) of all phrases in reached slots; one may come in several rows."""
+    def named(reached, held):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        ids, hashes = _joined(held)
+        words = pa.array([w for _, words, _ in held for w in words], pa.binary())
+        langs = pa.array([lang for lang, *_ in held], pa.string())
+        block_of = np.repeat(np.arange(len(held)), [len(w) for _, w, _ in held])  # by word
+        for size, places, value, _ in _chain(ids, hashes, reached, NEVER, longest):
+            there = _since(value, reached) < NEVER
+            at, value, _ = _distinct(places[there], value[there])
+            if not len(at):
+                continue
+            runs = [words.take(pa.array(ids[at + k] - 1)) for k in range(size)]
+            phrases = pc.binary_join_element_wise(*runs, pa.scalar(b" ", pa.binary())) if size > 1 else runs[0]
+            keys = _keys(size, value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[:, 0]), pa.array(keys[:, 1]), langs.take(pa.array(block_of[ids[at] - 1])), phrases.cast(pa.string())],
+                names=["k1", "k2", "lang", "phrase"])
 
-    return phrases.select("lang", "phrase").mapInArrow(run, "slot int").distinct().toArrow()["slot"].to_numpy()
+    return _of_blocks(sent, named)
 
 
 def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, shards: int = 3,
@@ -205,18 +244,19 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     """
     import numpy as np
 
+    if not 1 <= longest <= 7 or slots & (slots - 1):
+        raise ValueError("phrases have 1 to 7 words, and slots are a power of two")
     spark = docs.sparkSession
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     blocks = docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _blocks, "lang string, words binary, numbers binary")
+        _blocks, "lang string, words binary, numbers binary, n long")
     dealt = scratch_path(spark, "phrase-shards")
     # Blocks are dealt in turn, each task beginning with another shard.
     turn = F.spark_partition_id() + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     (blocks.withColumn("shard", F.pmod(turn, F.lit(shards)).cast("int"))
      .write.partitionBy("shard").option("compression", "zstd").parquet(dealt))
-    corpus = spark.read.schema("lang string, words binary, numbers binary, shard int").parquet(dealt)
+    corpus = spark.read.schema("lang string, words binary, numbers binary, n long, shard int").parquet(dealt)
 
-    key = ["lang", "size", "phrase"]
     table = np.full(slots, NEVER, np.uint8)
     least = -(-threshold // shards)  # what reaches the threshold within a cycle has so many in one of its scans
     scans, scan, wait = [], 0, shards
@@ -224,32 +264,39 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
         if scan >= NEVER:
             raise ValueError("more scans than the table can number: use fewer shards")
         sent = spark.sparkContext.broadcast(table.tobytes())
-        found = corpus.where(F.col("shard") == scan % shards).mapInArrow(
-            _counter(sent, scan, shards, longest), "lang string, size int, phrase string, n long")
+        found = corpus.where(F.col("shard") == scan % shards).select("lang", "words", "numbers").mapInArrow(
+            _counter(sent, scan, shards, longest), "k1 long, k2 long, n long")
         path = scratch_path(spark, f"phrase-scan-{scan}")
-        (found.groupBy(*key).agg(F.sum("n").alias("n")).withColumn("often", F.col("n") >= least)
-         .write.partitionBy("size", "often").parquet(path))
+        (found.groupBy("k1", "k2").agg(F.sum("n").alias("n")).withColumn("often", F.col("n") >= least)
+         .write.partitionBy("often").parquet(path))
         sent.unpersist()
-        scans.append(spark.read.schema("lang string, phrase string, n long, size int, often boolean").parquet(path))
+        scans.append(spark.read.schema("k1 long, k2 long, n long, often boolean").parquet(path))
         # A phrase's cycle lies within the last scans; what was not often in one of them is below the threshold.
-        reached = _totals(scans[-shards:], key, threshold).where(F.col("size") < longest)
-        now = _slots_of(reached, slots)
-        now = now[table[now] == NEVER]
-        if len(now):
-            table[now] = scan
+        # At most one row per slot and length comes here.
+        now = _totals(scans[-shards:], threshold).select(
+            F.col("k1").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot"),
+            (F.col("k2").bitwiseAND(F.lit(7)) < longest).alias("extends")).distinct().toArrow()
+        slot = now["slot"].to_numpy()
+        new = table[slot] == NEVER
+        if new[now["extends"].to_numpy()].any():
             wait = max(wait, scan + 1 + shards)  # what becomes active with the next scan needs a cycle
+        table[slot[new]] = scan
         scan += 1
 
-    n = reduce(DataFrame.unionByName, scans[:shards]).where("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    return (materialise(_totals(scans, key, threshold).withColumnRenamed("n", "f"), "phrase-counts"),
-            materialise(n, "phrase-words"))
+    reached = materialise(_totals(scans, threshold).withColumnRenamed("n", "f"), "phrases-reached")
+    sent = spark.sparkContext.broadcast(table.tobytes())
+    named = corpus.select("lang", "words", "numbers").mapInArrow(_namer(sent, longest), "k1 long, k2 long, lang string, phrase string")
+    counts = named.join(few(reached), ["k1", "k2"]).groupBy("k1", "k2", "lang", "phrase", "f").agg(F.lit(1))
+    size = F.col("k2").bitwiseAND(F.lit(7)).cast("int").alias("size")
+    n = corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
+    return materialise(counts.select("lang", size, "phrase", "f"), "phrase-counts"), materialise(n, "phrase-words")
 
 
-def _totals(scans: list[DataFrame], key: list[str], threshold: int) -> DataFrame:
-    """The phrases that reach the threshold over these scans, with their sums."""
+def _totals(scans: list[DataFrame], threshold: int) -> DataFrame:
+    """(k1, k2, n): the phrases that reach the threshold over these scans, with their sums."""
     rows = reduce(DataFrame.unionByName, scans)
-    often = rows.where("often").select(*key).distinct()
-    return rows.join(often, key, "left_semi").groupBy(*key).agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
+    often = few(rows.where("often").select("k1", "k2").distinct())
+    return rows.join(often, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
 
 
 def collocations(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, top: int = 2000, shards: int = 3,

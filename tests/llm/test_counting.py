@@ -69,7 +69,7 @@ def test_phrases_equal_whole_counts(spark, threshold, shards, slots, monkeypatch
     rows = spoken(threshold, 15 if threshold == 1 else 150)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     if shards != 2:
-        monkeypatch.setattr(collocations, "BLOCK", 50)
+        monkeypatch.setattr(collocations, "BLOCK", 500)
     got = collocations.collocations(docs, threshold, shards=shards, slots=slots)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(map(tuple, got.collect())) == plain_phrases(rows, threshold)
@@ -99,17 +99,23 @@ def test_phrases_of_odd_and_no_rows(odd, none, spark):
     assert counts.where("size = 1 AND phrase = 'word'").first().f == 30_000
 
 
+def test_blocks_hold_the_words_in_order():
+    words, numbers = collocations.encode(["A b.\tc  b;", None, "", "B\x0bd"])
+    assert words.to_pylist() == [b"a", b"b", b"c", b"d"]
+    assert numbers.tolist() == [1, 2, 0, 3, 2, 0, 2, 0, 4, 0]
+    assert [x.tolist() for x in collocations.encode([None, " . "])[1:]] == [[]]
+
+
 def test_phrases_activate_as_soon_as_their_parts_are_known():
     """One scan after both parts reached the threshold, for one cycle."""
     hashes = np.arange(1, 9, dtype=np.uint64).reshape(-1, 2)
     reached = np.full(1 << 16, collocations.NEVER, np.uint8)
-    first = collocations._longer(hashes, 1)[0]
-    reached[collocations._slot(first, len(reached))] = [0, 2, 1, collocations.NEVER]
-    found = {scan: [(size, p.tolist()) for size, p, *_ in collocations._active(hashes, reached, scan, 3, 5)]
-             for scan in range(7)}
-    everything = (1, [0, 1, 2, 3])
-    assert found[0] == found[1] == found[2] == [everything]
-    assert found[3] == found[4] == found[5] == [(2, [0, 1])] and found[6] == []
+    first = collocations._longer(np.zeros_like(hashes), hashes)
+    reached[(first[:, 0] % len(reached)).astype(int)] = [0, 2, 1, collocations.NEVER]
+    ids = np.array([1, 2, 3, 4, 0, 1, 3])
+    found = {scan: [(size, p.tolist(), known.tolist()) for size, p, _, known in collocations._chain(ids, hashes, reached, scan, 5)][1:]
+             for scan in range(4)}
+    assert found == {0: [], 1: [], 2: [(2, [5], [1])], 3: [(2, [0, 1, 5], [2, 2, 1])]}
 
 
 # --- filters -----------------------------------------------------------------
