@@ -19,6 +19,7 @@ the threshold are looked up in one more scan.
 
 from __future__ import annotations
 
+import zlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -165,7 +166,7 @@ def _of_blocks(sent, work):
     def run(batches):
         import numpy as np
 
-        reached, held, size = np.frombuffer(sent.value, np.uint8), [], 0
+        reached, held, size = np.frombuffer(zlib.decompress(sent.value), np.uint8), [], 0
         for batch in batches:
             for lang, words, numbers in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "numbers"))):
                 if words:
@@ -263,13 +264,13 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     while scan < wait:
         if scan >= NEVER:
             raise ValueError("more scans than the table can number: use fewer shards")
-        sent = spark.sparkContext.broadcast(table.tobytes())
+        sent = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
         found = corpus.where(F.col("shard") == scan % shards).select("lang", "words", "numbers").mapInArrow(
             _counter(sent, scan, shards, longest), "k1 long, k2 long, n long")
         path = scratch_path(spark, f"phrase-scan-{scan}")
         (found.groupBy("k1", "k2").agg(F.sum("n").alias("n")).withColumn("often", F.col("n") >= least)
          .write.partitionBy("often").parquet(path))
-        sent.unpersist()
+        sent.destroy()
         scans.append(spark.read.schema("k1 long, k2 long, n long, often boolean").parquet(path))
         # A phrase's cycle lies within the last scans; what was not often in one of them is below the threshold.
         # At most one row per slot and length comes here.
@@ -284,12 +285,14 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
         scan += 1
 
     reached = materialise(_totals(scans, threshold).withColumnRenamed("n", "f"), "phrases-reached")
-    sent = spark.sparkContext.broadcast(table.tobytes())
+    sent = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
     named = corpus.select("lang", "words", "numbers").mapInArrow(_namer(sent, longest), "k1 long, k2 long, lang string, phrase string")
     counts = named.join(few(reached), ["k1", "k2"]).groupBy("k1", "k2", "lang", "phrase", "f").agg(F.lit(1))
     size = F.col("k2").bitwiseAND(F.lit(7)).cast("int").alias("size")
     n = corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
-    return materialise(counts.select("lang", size, "phrase", "f"), "phrase-counts"), materialise(n, "phrase-words")
+    out = materialise(counts.select("lang", size, "phrase", "f"), "phrase-counts")
+    sent.destroy()
+    return out, materialise(n, "phrase-words")
 
 
 def _totals(scans: list[DataFrame], threshold: int) -> DataFrame:
