@@ -13,7 +13,7 @@ Tasks learn what has reached the threshold from a table of fixed size: hashed by
 phrase, it keeps the earliest scan after which any phrase of that slot had
 reached it.  Two phrases in one slot can only make a third one active too early,
 alike in every task, which costs counting and changes no count.  Counts travel
-under 125 bits of the phrase's hash and its length; the words of what reached
+under 93 bits of the phrase's hash and its length; the words of what reached
 the threshold are looked up in one more scan.
 """
 
@@ -142,12 +142,11 @@ def _chain(ids, hashes, reached, scan: int, longest: int):
 
 
 def _keys(size: int, value):
-    """A phrase's hash as two signed longs, its length in the last three bits."""
+    """A phrase's hash as a signed long and a signed int, its length in the int's last three bits."""
     import numpy as np
 
-    keys = value.copy()
-    keys[:, 1] = (keys[:, 1] & ~np.uint64(7)) | np.uint64(size)
-    return keys.view(np.int64)
+    low = ((value[:, 1] >> np.uint64(32)) & ~np.uint64(7)) | np.uint64(size)
+    return value[:, 0].copy().view(np.int64), low.astype(np.uint32).view(np.int32)
 
 
 def _distinct(places, value):
@@ -205,7 +204,7 @@ def _counter(sent, scan: int, shards: int, longest: int):
             if len(places):
                 _, value, n = _distinct(places, value)
                 keys = _keys(size, value)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(n)], names=["k1", "k2", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), pa.array(n)], names=["k1", "k2", "n"])
 
     return _of_blocks(sent, counted)
 
@@ -230,13 +229,13 @@ def _namer(sent, longest: int):
             phrases = pc.binary_join_element_wise(*runs, pa.scalar(b" ", pa.binary())) if size > 1 else runs[0]
             keys = _keys(size, value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[:, 0]), pa.array(keys[:, 1]), langs.take(pa.array(block_of[ids[at] - 1])), phrases.cast(pa.string())],
+                [pa.array(keys[0]), pa.array(keys[1]), langs.take(pa.array(block_of[ids[at] - 1])), phrases.cast(pa.string())],
                 names=["k1", "k2", "lang", "phrase"])
 
     return _of_blocks(sent, named)
 
 
-def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, shards: int = 3,
+def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, shards: int = 2,
                   slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of every phrase of 1 to ``longest`` words with f >= threshold, and (lang, n) of all words.
 
@@ -266,12 +265,12 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
             raise ValueError("more scans than the table can number: use fewer shards")
         sent = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
         found = corpus.where(F.col("shard") == scan % shards).select("lang", "words", "numbers").mapInArrow(
-            _counter(sent, scan, shards, longest), "k1 long, k2 long, n long")
+            _counter(sent, scan, shards, longest), "k1 long, k2 int, n long")
         path = scratch_path(spark, f"phrase-scan-{scan}")
         (found.groupBy("k1", "k2").agg(F.sum("n").alias("n")).withColumn("often", F.col("n") >= least)
          .write.partitionBy("often").parquet(path))
         sent.destroy()
-        scans.append(spark.read.schema("k1 long, k2 long, n long, often boolean").parquet(path))
+        scans.append(spark.read.schema("k1 long, k2 int, n long, often boolean").parquet(path))
         # A phrase's cycle lies within the last scans; what was not often in one of them is below the threshold.
         # At most one row per slot and length comes here.
         now = _totals(scans[-shards:], threshold).select(
@@ -286,8 +285,8 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
 
     reached = materialise(_totals(scans, threshold).withColumnRenamed("n", "f"), "phrases-reached")
     sent = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
-    named = corpus.select("lang", "words", "numbers").mapInArrow(_namer(sent, longest), "k1 long, k2 long, lang string, phrase string")
-    counts = named.join(few(reached), ["k1", "k2"]).groupBy("k1", "k2", "lang", "phrase", "f").agg(F.lit(1))
+    named = corpus.select("lang", "words", "numbers").mapInArrow(_namer(sent, longest), "k1 long, k2 int, lang string, phrase string")
+    counts = named.distinct().join(few(reached), ["k1", "k2"])
     size = F.col("k2").bitwiseAND(F.lit(7)).cast("int").alias("size")
     n = corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     out = materialise(counts.select("lang", size, "phrase", "f"), "phrase-counts")
@@ -302,7 +301,7 @@ def _totals(scans: list[DataFrame], threshold: int) -> DataFrame:
     return rows.join(often, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
 
 
-def collocations(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, top: int = 2000, shards: int = 3,
+def collocations(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, top: int = 2000, shards: int = 2,
                  slots: int = SLOTS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: every language's phrases of 2 words or more, best first.
 
