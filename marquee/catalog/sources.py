@@ -8,9 +8,10 @@ from marquee import bindings as b, schemas
 from marquee.catalog.registry import query
 from marquee.functions import scalars
 from marquee.operators import joins
-from marquee.plans import final_dataset
+from marquee.plans import final_dataset, learning, steps
 from marquee.session import scratch_path
-from marquee.sources import readers, sinks
+from marquee.sources import cache as persisted, readers, sinks
+from marquee.sources.versions import Versions
 
 
 @query("scan_movies", ctes="base audience", sql="""
@@ -165,6 +166,15 @@ def pipeline_from_files(spark, sf):
                                        "overview", "youtube_sentiment")
 
 
+@query("pipeline_run")
+def pipeline_run(spark, sf):
+    """The ledger of the seven steps over files, collection skipped; of the candidates the two that are quick to fit."""
+    root = scratch_path(spark, "run")
+    small = {"regressors": {"linear": learning.regressors()["linear"]}, "classifiers": {"logistic": learning.classifiers()["logistic"]}}
+    plan = steps.seven_steps(spark, _raw_folders(spark, sf), b.lexicon(spark), root, bad="skip", **small)
+    return steps.run(spark, root, plan)
+
+
 @query("rejected_lines", sql="""
     SELECT 'movies' AS source, count(*) AS lines FROM orders WHERE o_orderkey % 10 = 0 HAVING count(*) > 0""")
 def rejected_lines(spark, sf):
@@ -187,4 +197,6 @@ def cache_refresh(spark, sf):
     def fetch(missing):
         return missing.join(counted, "movie_id").withColumn("origin", F.lit("fetched"))
 
-    return joins.refresh_cache(ids, cache, fetch, "movie_id")
+    store = Versions(spark, scratch_path(spark, "credits-cache"))
+    store.publish({"credits": cache}, "1")
+    return persisted.refresh(store, "credits", ids, fetch, "movie_id", "2", cache.limit(0))

@@ -56,8 +56,7 @@ def genre_averages(df: DataFrame, train) -> DataFrame:
 def engineered_features(df: DataFrame, train=None) -> DataFrame:
     """The eight engineered columns; ``train`` limits which rows fit the genre mean."""
     fitted = genre_averages(df, F.lit(True) if train is None else train)
-    # Few genres; the left side may hold most rows in one, so it is salted.
-    joined = joins.salted_lookup(df, fitted, ["primary_genre"], F.col("movie_id"))
+    joined = joins.written_lookup(df, fitted, ["primary_genre"], "genre-averages")
     return joined.withColumns({
         "genre_avg_revenue": F.coalesce("genre_avg_revenue", F.lit(0.0)),
         "hype_score": scalars.hype_score(

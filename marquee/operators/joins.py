@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import materialise
+
 SALTS = 16
 
 
@@ -31,6 +33,16 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], defaults: dict | No
     return joined.na.fill(defaults) if defaults else joined
 
 
+def written_lookup(left: DataFrame, right: DataFrame, on: list[str], label: str, defaults: dict | None = None) -> DataFrame:
+    """``lookup`` for a side that is derived, and small as a rule: it is written first.
+
+    Spark then knows its size before it plans the join: below the broadcast
+    threshold the left side stays where it is, hot keys and all; beyond it both
+    are shuffled and AQE splits the partitions of hot keys.
+    """
+    return lookup(left, materialise(right, label), on, defaults)
+
+
 def salted_lookup(left: DataFrame, right: DataFrame, on: list[str], salt_by: Column, how: str = "left",
                   salts: int = SALTS) -> DataFrame:
     """Lookup for a left side with hot keys (titles, names, genres).

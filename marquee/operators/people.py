@@ -134,14 +134,18 @@ def reputation(df: DataFrame, people: DataFrame, roi: DataFrame, key: str = "mov
                         "names_checked")
 
 
-def text_people(df: DataFrame, people: DataFrame, roi: DataFrame, key: str, overview: str = "overview",
-                first: int = 12) -> DataFrame:
+def known_people(people: DataFrame, roi: DataFrame) -> DataFrame:
+    """(name, popularity, roi) of everybody known by popularity or by past return."""
+    return best_match(people).join(roi, "name", "full").select("name", "popularity", "roi")
+
+
+def text_people(df: DataFrame, side: DataFrame, key: str, overview: str = "overview", first: int = 12) -> DataFrame:
     """``text_cast_stats`` and ``reputation`` of every text in one row: names found once, people joined once.
 
-    ``cast`` and ``reputation`` are structs, NULL where the text names nobody known.
+    ``side`` is ``known_people``, written before.  ``cast`` and ``reputation``
+    are structs, NULL where the text names nobody known.
     """
-    side = best_match(people).join(roi, "name", "full")
-    known = joins.salted_lookup(names_in_text(df, key, overview), side, ["name"], F.col(key))
+    known = joins.lookup(names_in_text(df, key, overview), side, ["name"])
     known = known.withColumns({"_early": F.col("seq") < first,
                                "_fame": F.when((F.col("seq") < first) & (F.col("popularity") > 0), F.col("popularity")),
                                "_roi": F.when(F.col("seq") < first, F.col("roi"))})

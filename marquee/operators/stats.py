@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators import quantiles
+from marquee.operators.joins import written_lookup
+from marquee.operators.numbering import numbered
+from marquee.session import materialise
 
 
 def dataset_stats(df: DataFrame) -> DataFrame:
@@ -97,32 +98,100 @@ def describe_positive(df: DataFrame, column: str) -> DataFrame:
     ).withColumn("_q", quartiles).select("count", "mean", "std", "min", "max", "_q.*")
 
 
-def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(a, b, correlation) from one aggregate, each over the rows where both are known; a constant gives NULL."""
-    def correlation(a: str, b: str):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-        varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-        return F.when(varies, F.covar_pop(x, y) / (F.stddev_pop(x) * F.stddev_pop(y)))
+_CELL = "a int, b int, n long, mx double, my double, xx double, yy double, xy double, x0 double, x1 double, y0 double, y1 double, bad long"
 
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("correlation")) for a, b in pairs]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
+def _masked_products(left: int, right: int, rows: int = 1 << 16):
+    """Task function: per block of rows one row per cell (a, b), over the rows where both columns are known.
 
-def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All cells of the Pearson matrix, long form, each over the rows where both columns are known.
-
-    One aggregate with a cell per unordered pair; a constant column gives NULL.
+    Counts, means and centred sums of squares and products are matrix products
+    of the values and of their masks.  ``bad`` counts values that are no numbers.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    half = _pair_correlations(df, pairs)
-    return half.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "correlation"))).otherwise(
-        F.array(F.struct("a", "b", "correlation"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "correlation")))))
+    def cells(values, known):
+        import numpy as np
+        import pyarrow as pa
+
+        bad = known & ~np.isfinite(values)
+        held = np.where(known & ~bad, values, 0.0)
+        shift = held.sum(axis=0) / np.maximum((known & ~bad).sum(axis=0), 1)
+        held = np.where(known & ~bad, held - shift, 0.0)  # centred, so that products do not cancel
+        mask = known.astype(float)
+        x, mx = held[:, :left], mask[:, :left]
+        y, my = held[:, left:], mask[:, left:]
+        n = mx.T @ my
+        at_least = np.maximum(n, 1)
+        sx, sy = (x.T @ my) / at_least, (mx.T @ y) / at_least
+        low, high = np.where(known, values, np.inf), np.where(known, values, -np.inf)
+        extremes = np.empty((4, left, right))
+        for k in range(right):
+            rows_of = known[:, left + k]
+            extremes[0, :, k] = low[rows_of, :left].min(axis=0, initial=np.inf)
+            extremes[1, :, k] = high[rows_of, :left].max(axis=0, initial=-np.inf)
+        for k in range(left):
+            rows_of = known[:, k]
+            extremes[2, k] = low[rows_of, left:].min(axis=0, initial=np.inf)
+            extremes[3, k] = high[rows_of, left:].max(axis=0, initial=-np.inf)
+        at = np.indices((left, right), dtype=np.int32)
+        found = [at[0], at[1], n.astype(np.int64), sx + shift[:left, None], sy + shift[None, left:],
+                 (x * x).T @ my - n * sx * sx, mx.T @ (y * y) - n * sy * sy, x.T @ y - n * sx * sy, *extremes,
+                 (bad[:, :left].T.astype(float) @ my + mx.T @ bad[:, left:]).astype(np.int64)]
+        keep = n.ravel() > 0
+        return pa.RecordBatch.from_arrays([pa.array(f.ravel()[keep]) for f in found],
+                                          names=[c.split()[0] for c in _CELL.split(", ")])
+
+    def run(batches):
+        import numpy as np
+
+        held, size = [], 0
+        for batch in batches:
+            columns = [batch.column(k) for k in range(batch.num_columns)]
+            held.append((np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns]),
+                         np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in columns])))
+            size += batch.num_rows
+            if size >= rows:
+                yield cells(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if size:
+            yield cells(*map(np.concatenate, zip(*held)))
+
+    return run
+
+
+def _pair_correlations(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """(a, b, correlation) of every column of ``left`` with every one of ``right``, each over the rows where both are
+    known; a column constant there gives NULL, one with a value that is no number NaN.
+
+    One pass over the rows: every block of rows gives a cell per pair, and the
+    cells are merged about their common mean.
+    """
+    order = F.create_map(*[x for k, c in enumerate(left) for x in (F.lit(k), F.lit(c))])
+    across = F.create_map(*[x for k, c in enumerate(right) for x in (F.lit(k), F.lit(c))])
+    values = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate([*left, *right])])
+    parts = materialise(values.mapInArrow(_masked_products(len(left), len(right)), _CELL), "correlation-cells")
+    mean = parts.groupBy("a", "b").agg(
+        (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("ax"), (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("ay"))
+    dx, dy, n = F.col("mx") - F.col("ax"), F.col("my") - F.col("ay"), F.col("n")
+    merged = parts.join(mean, ["a", "b"]).groupBy("a", "b").agg(
+        F.sum(F.col("xx") + n * dx * dx).alias("xx"), F.sum(F.col("yy") + n * dy * dy).alias("yy"),
+        F.sum(F.col("xy") + n * dx * dy).alias("xy"), F.sum("bad").alias("bad"),
+        ((F.max("x1") > F.min("x0")) & (F.max("y1") > F.min("y0"))).alias("varies"))
+    cells = df.sparkSession.createDataFrame(
+        [(k, j) for k in range(len(left)) for j in range(len(right))], "a int, b int").join(merged, ["a", "b"], "left")
+    value = F.when(F.col("bad") > 0, F.lit(float("nan"))).when(
+        F.col("varies"), F.col("xy") / (F.sqrt("xx") * F.sqrt("yy")))
+    return cells.select(F.element_at(order, F.col("a")).alias("a"), F.element_at(across, F.col("b")).alias("b"),
+                        value.alias("correlation"))
+
+
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All cells of the Pearson matrix, long form, each over the rows where both columns are known; a constant column
+    gives NULL."""
+    return _pair_correlations(df, columns, columns)
 
 
 def correlation_ranking(df: DataFrame, target: str, columns: list[str], top: int = 20) -> DataFrame:
     """Features by absolute correlation with the target, strongest first."""
-    pairs = _pair_correlations(df, [(c, target) for c in columns if c != target])
+    pairs = _pair_correlations(df, [c for c in columns if c != target], [target])
     ranked = pairs.select(F.col("a").alias("feature"), F.abs("correlation").alias("importance")).dropna()
     return ranked.orderBy(F.desc("importance"), "feature").limit(top)
 
@@ -270,6 +339,11 @@ def browse_page(df: DataFrame, query: str = "", sort: str = "revenue", page: int
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:
-    """Adds ``<column>_index``: alphabetical position among the distinct labels."""
-    labels = df.agg(F.array_sort(F.collect_set(column))).scalar()
-    return df.withColumn(f"{column}_index", (F.array_position(labels, F.col(column)) - 1).cast("int"))
+    """Adds ``<column>_index``: alphabetical position among the distinct labels, NULL for NULL.
+
+    The distinct labels are numbered in ranges, so no task holds them all.
+    """
+    labels = df.where(F.col(column).isNotNull()).select(column).distinct()
+    numbers = numbered(labels, [column], f"{column}_index", "label-numbers")
+    return written_lookup(df, numbers.withColumn(f"{column}_index", F.col(f"{column}_index").cast("int")), [column], "labels").select(
+        *df.columns, f"{column}_index")

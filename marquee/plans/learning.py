@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import (
-    CountVectorizer, IDF, Imputer, Normalizer, OneHotEncoder, RegexTokenizer, StandardScaler, StopWordsRemover,
+    CountVectorizerModel, ElementwiseProduct, Imputer, Normalizer, OneHotEncoder, RegexTokenizer, StandardScaler,
     StringIndexer, VectorAssembler)
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import fixed, scalars
-from marquee.operators import features, joins, stats
-from marquee.session import materialise
+from marquee.operators import features, joins, stats, tfidf
+from marquee.session import checkpointing, materialise
+
 
+def preprocessing(train: DataFrame, numeric: list[str], categorical: list[str], text: str | None, vocabulary: int = 100) -> list:
+    """Mean impute and scale, one-hot with unseen values kept apart, TF-IDF of the text.
 
-def preprocessing(numeric: list[str], categorical: list[str], text: str | None, vocabulary: int = 100) -> list:
-    """Mean impute and scale, one-hot with unseen values kept apart, TF-IDF of the text."""
+    The terms and their weights are those of ``tfidf.vocabulary`` over the train
+    rows; that list, ``vocabulary`` terms at most, is all that comes to the driver.
+    """
     stages = [
         Imputer(inputCols=numeric, outputCols=[f"{c}__i" for c in numeric], strategy="mean"),
         VectorAssembler(inputCols=[f"{c}__i" for c in numeric], outputCol="numeric_raw"),
@@ -26,12 +34,12 @@ def preprocessing(numeric: list[str], categorical: list[str], text: str | None,
         OneHotEncoder(inputCols=[f"{c}__x" for c in categorical], outputCols=[f"{c}__h" for c in categorical]),
     ]
     inputs = ["numeric", *[f"{c}__h" for c in categorical]]
-    if text is not None:
+    weights = {r.term: r.idf for r in tfidf.vocabulary(train, text, vocabulary).collect()} if text is not None else {}
+    if weights:
         stages += [
-            RegexTokenizer(inputCol=text, outputCol="words_all", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False),
-            StopWordsRemover(inputCol="words_all", outputCol="words_kept", stopWords=fixed.ENGLISH_STOP_WORDS),
-            CountVectorizer(inputCol="words_kept", outputCol="term_counts", vocabSize=vocabulary),
-            IDF(inputCol="term_counts", outputCol="term_weights"),
+            RegexTokenizer(inputCol=text, outputCol="words_all", pattern=tfidf.TERM, gaps=False),
+            CountVectorizerModel.from_vocabulary(list(weights), inputCol="words_all", outputCol="term_counts"),
+            ElementwiseProduct(scalingVec=Vectors.dense(list(weights.values())), inputCol="term_counts", outputCol="term_weights"),
             Normalizer(inputCol="term_weights", outputCol="terms"),
         ]
         inputs.append("terms")
@@ -53,6 +61,10 @@ def model_frame(df: DataFrame) -> tuple[DataFrame, list[str], list[str], str | N
 #: MLlib's deepest tree, where the reference sets no depth.
 DEEPEST = 30
 
+#: How trees are grown; none of it changes a tree.  Every row keeps the node it is in, checkpointed as rounds go, so no
+#: task is sent the trees so far; and more nodes are split in one pass over the rows.
+GROWING = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 512}
+
 
 def regressors(label: str = "revenue", weight: str | None = None, trees: int = 100, depth: int = DEEPEST,
                rounds: int = 100, boosted_depth: int = 6, step: float = 0.3, subsample: float = 1.0,
@@ -62,10 +74,10 @@ def regressors(label: str = "revenue", weight: str | None = None, trees: int = 1
     return {
         "linear": LinearRegression(labelCol=label, **weighted),
         "random_forest": RandomForestRegressor(
-            labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=least_rows, seed=seed, **weighted),
+            labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=least_rows, seed=seed, **GROWING, **weighted),
         "boosted": GBTRegressor(
             labelCol=label, maxIter=rounds, stepSize=step, maxDepth=boosted_depth, subsamplingRate=subsample, seed=seed,
-            **weighted),
+            **GROWING, **weighted),
     }
 
 
@@ -80,24 +92,99 @@ def classifiers(label: str = "label", trees: int = 100, depth: int = DEEPEST, ro
     """Candidate classifiers, in tie-breaking order."""
     return {
         "logistic": LogisticRegression(labelCol=label, family="multinomial", maxIter=1000),
-        "random_forest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed),
-        "boosted": OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=boosted_depth, stepSize=step, seed=seed),
-                             labelCol=label),
+        "random_forest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, **GROWING),
+        "boosted": OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=boosted_depth, stepSize=step, seed=seed, **GROWING),
+                             labelCol=label, parallelism=3),
     }
 
 
-def early_stopping_boosted(label: str, holdout: str, rounds: int = 300, depth: int = 8, step: float = 0.05,
-                           tolerance: float = 0.01, seed: int = 42) -> GBTRegressor:
-    """Boosting that stops once the rows marked in ``holdout`` no longer improve."""
-    return GBTRegressor(
-        labelCol=label, maxIter=rounds, stepSize=step, maxDepth=depth, subsamplingRate=0.8, seed=seed,
-        validationIndicatorCol=holdout, validationTol=tolerance)
+def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
+    """The round (from 1) of least error before ``patience`` rounds in a row brought none less, and whether they did."""
+    best = 0
+    for k, error in enumerate(errors):
+        if best == 0 or error < errors[best - 1]:
+            best = k + 1
+        elif k + 1 - best >= patience:
+            return best, True
+    return best, False
+
+
+def first_trees(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The boosted model as it was after ``rounds`` rounds."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    kinds = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(kinds.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for k in range(rounds):
+        trees[k], weights[k] = java.trees()[k], java.treeWeights()[k]
+    return GBTRegressionModel(kinds.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())).setFeaturesCol(
+        model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+class Stopped(NamedTuple):
+    """A boosted model cut to its best round, and the hold-out's mean squared error after every round looked at."""
+
+    model: PipelineModel
+    best: int
+    errors: list[float]
+
+
+def fit_early_stopping(df: DataFrame, label: str, holdout: str, train: str = "split = 'train'", rounds: int = 300,
+                       patience: int = 10, depth: int = 8, step: float = 0.05, subsample: float = 0.8, least_rows: int = 20,
+                       seed: int = 42) -> Stopped:
+    """Boosting on the train rows until the rows marked in ``holdout`` have not improved for ``patience`` rounds.
+
+    The trees after the best round are dropped.  MLlib can't go on with a
+    boosted model, but its first rounds do not depend on how many follow: the
+    horizon doubles until patience ends within it, which costs at most as many
+    rounds again.
+    """
+    fitted = prepare(df, train)
+    rows = fitted.ready.where(train).where(f"NOT {holdout}")
+    held = fitted.ready.where(train).where(holdout)
+    horizon = min(rounds, 4 * patience)
+    while True:
+        model = GBTRegressor(labelCol=label, maxIter=horizon, stepSize=step, maxDepth=depth, subsamplingRate=subsample,
+                             minInstancesPerNode=least_rows, seed=seed, **GROWING).fit(rows)
+        errors = [float(e) for e in model.evaluateEachIteration(held, "squared")]
+        best, stopped = best_round(errors, patience)
+        if stopped or horizon == rounds:
+            looked_at = errors[:best + patience]
+            return Stopped(PipelineModel(stages=[*fitted.stages, first_trees(model, best)]), best, looked_at)
+        horizon = min(rounds, 2 * horizon)
+
+
+class Prepared(NamedTuple):
+    """Fitted preprocessing, and all rows with their features, written and spread over the cores."""
+
+    stages: list
+    ready: DataFrame
+
+
+def prepare(df: DataFrame, train: str = "split = 'train'", vocabulary: int = 100) -> Prepared:
+    """Preprocessing fitted on the train rows only; estimators then rescan what is written here."""
+    frame, numeric, categorical, text = model_frame(df)
+    rows = frame.filter(train)
+    model = Pipeline(stages=preprocessing(rows, numeric, categorical, text, vocabulary)).fit(rows)
+    rows = model.transform(frame).drop("words_all")
+    checkpointing(df.sparkSession)
+    return Prepared(model.stages, spread(materialise(rows, "prepared")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores: few files would keep most cores idle in every pass."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    key = [c for c in ("movie_id",) if c in df.columns]
+    return materialise(df.repartition(cores, *key), "spread") if df.rdd.getNumPartitions() < cores else df
 
 
 def fit(df: DataFrame, estimator, train: str = "split = 'train'", vocabulary: int = 100) -> PipelineModel:
     """Preprocessing and estimator fitted on the train rows only."""
-    frame, numeric, categorical, text = model_frame(df)
-    return Pipeline(stages=[*preprocessing(numeric, categorical, text, vocabulary), estimator]).fit(frame.filter(train))
+    return fit_on(prepare(df, train, vocabulary), estimator, train)
+
+
+def fit_on(prepared: Prepared, estimator, train: str = "split = 'train'") -> PipelineModel:
+    return PipelineModel(stages=[*prepared.stages, estimator.fit(prepared.ready.filter(train))])
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
@@ -109,39 +196,37 @@ def with_split(df: DataFrame, key: str = "movie_id", seed: int = 42, train_perce
     return df.withColumn("split", scalars.stable_split(F.col(key), seed, train_percent))
 
 
-def select_best_regressor(df: DataFrame, candidates: dict, label: str = "revenue") -> tuple[str, PipelineModel, list]:
+def select_best_regressor(df: DataFrame | Prepared, candidates: dict, label: str = "revenue",
+                          fitted: dict[str, PipelineModel] | None = None) -> tuple[str, PipelineModel, list]:
     """(name, model, one metrics row per candidate); highest test R2 wins, the earlier on ties.
 
-    The preprocessing is fitted once and shared.  Only the one-row metric
-    aggregates reach the driver.
+    The preprocessing is fitted once and shared.  A candidate that was fitted
+    before on the same preparation is taken from ``fitted``.  Only the one-row
+    metric aggregates reach the driver.
     """
-    frame, numeric, categorical, text = model_frame(df)
-    prepared = Pipeline(stages=preprocessing(numeric, categorical, text)).fit(frame.filter("split = 'train'"))
-    ready = materialise(prepared.transform(frame).drop("words_all", "words_kept"), "prepared")
+    prepared = df if isinstance(df, Prepared) else prepare(df)
     best, table = None, []
     for name, estimator in candidates.items():
-        model = estimator.fit(ready.filter("split = 'train'"))
-        scored = model.transform(ready.filter("split = 'test'"))
+        model = (fitted or {}).get(name) or fit_on(prepared, estimator)
+        scored = model.stages[-1].transform(prepared.ready.filter("split = 'test'"))
         row = stats.regression_metrics(scored, label, "prediction").first()
         table.append((name, row["rows"], row["r2"], row["rmse"], row["mae"], row["mape_positive"]))
         if best is None or row["r2"] > best[1]:
-            best = (name, row["r2"], PipelineModel(stages=[*prepared.stages, model]))
+            best = (name, row["r2"], model)
     return best[0], best[2], table
 
 
-def select_best_classifier(df: DataFrame, candidates: dict, label: str = "label") -> tuple[str, PipelineModel, list]:
+def select_best_classifier(df: DataFrame | Prepared, candidates: dict, label: str = "label") -> tuple[str, PipelineModel, list]:
     """As ``select_best_regressor``, by weighted F1 of the test rows."""
-    frame, numeric, categorical, text = model_frame(df)
-    prepared = Pipeline(stages=preprocessing(numeric, categorical, text)).fit(frame.filter("split = 'train'"))
-    ready = materialise(prepared.transform(frame).drop("words_all", "words_kept"), "prepared")
+    prepared = df if isinstance(df, Prepared) else prepare(df)
     best, table = None, []
     for name, estimator in candidates.items():
-        model = estimator.fit(ready.filter("split = 'train'"))
-        scored = model.transform(ready.filter("split = 'test'"))
+        model = fit_on(prepared, estimator)
+        scored = model.stages[-1].transform(prepared.ready.filter("split = 'test'"))
         accuracy, f1 = accuracy_f1(scored, label, "prediction")
         table.append((name, accuracy, f1))
         if best is None or f1 > best[1]:
-            best = (name, f1, PipelineModel(stages=[*prepared.stages, model]))
+            best = (name, f1, model)
     return best[0], best[2], table
 
 

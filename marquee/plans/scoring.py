@@ -3,21 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import fixed, rules, scalars, text
-from marquee.operators import features, lexicon as lexicon_ops, people as people_ops
-from marquee.operators.similarity import social_signals
+from marquee.operators import features, lexicon as lexicon_ops, people as people_ops, similarity
+from marquee.operators.joins import lookup
 from marquee.session import materialise
+from marquee.sources.versions import Versions
 
 c = F.col
 
-
 ROW = "_row"
 
 
+class ScoringTables(NamedTuple):
+    """What records are scored against, as written tables: nothing here is derived again by a batch.
+
+    ``people``: name, popularity, roi.  ``lexicon``: token, polarity,
+    subjectivity.  ``index``: the reference titles, None without any.
+    """
+
+    people: DataFrame
+    lexicon: DataFrame
+    index: similarity.Index | None
+
+
+def publish_tables(spark: SparkSession, root: str, version: str, people: DataFrame, roi: DataFrame, lexicon: DataFrame,
+                   index: similarity.Index | None = None) -> ScoringTables:
+    """Derive the tables once, publish them as a version under ``root`` and open it with an index published apart."""
+    store = Versions(spark, root)
+    if store.current() != version:
+        store.publish({"people": people_ops.known_people(people, roi),
+                       "lexicon": lexicon.select("token", "polarity", "subjectivity")}, version)
+    return open_tables(spark, root, version, index)
+
+
+def open_tables(spark: SparkSession, root: str, version: str | None = None,
+                index: similarity.Index | None = None) -> ScoringTables:
+    """The published tables of one version, the current one unless named."""
+    store = Versions(spark, root)
+    version = version or store.current()
+    return ScoringTables(store.read("people", version), store.read("lexicon", version), index)
+
+
 def with_row_id(records: DataFrame) -> DataFrame:
     """The records with a row number, written: it keeps apart records whose id is repeated, NULL or missing."""
     if "movie_id" not in records.columns:
@@ -25,10 +56,10 @@ def with_row_id(records: DataFrame) -> DataFrame:
     return materialise(records.withColumn(ROW, F.monotonically_increasing_id()), "records")
 
 
-def apply_social(records: DataFrame, references: DataFrame | None) -> DataFrame:
+def apply_social(records: DataFrame, index: similarity.Index | None) -> DataFrame:
     """Social signals of the nearest reference title (or the record's own), clipped."""
-    if references is not None:
-        signals = social_signals(records.drop("movie_id"), references.withColumnRenamed("movie_id", ROW), ROW)
+    if index is not None:
+        signals = similarity.social_signals(records, index, ROW)
         records = records.drop(*fixed.SOCIAL_BOUNDS).join(signals.drop("source"), ROW, "left")
     return records.withColumns({n: scalars.social_clip(c(n), *b) for n, b in fixed.SOCIAL_BOUNDS.items()})
 
@@ -132,8 +163,7 @@ def finish(df: DataFrame, prediction: str = "predicted_revenue") -> DataFrame:
     })
 
 
-def score(records: DataFrame, predict: Callable[[DataFrame], DataFrame], people: DataFrame, roi: DataFrame,
-          lexicon: DataFrame, references: DataFrame | None = None) -> DataFrame:
+def score(records: DataFrame, predict: Callable[[DataFrame], DataFrame], tables: ScoringTables) -> DataFrame:
     """Records to predictions, one per record.  ``predict`` adds ``base_prediction``.
 
     ``movie_id`` may repeat, be NULL or be absent: what is derived from a text
@@ -141,10 +171,10 @@ def score(records: DataFrame, predict: Callable[[DataFrame], DataFrame], people:
     shuffle; every rule is a projection.
     """
     numbered = with_row_id(records)
-    aligned = people_ops.sanitize(apply_social(features.align_record(numbered), references))
+    aligned = people_ops.sanitize(apply_social(features.align_record(numbered), tables.index))
     texts = aligned.select(ROW, "overview")
-    nlp = lexicon_ops.overview_stats(texts, lexicon, ROW)
-    found = nlp.join(people_ops.text_people(texts, people, roi, ROW), ROW, "left")
+    nlp = lexicon_ops.overview_stats(texts, tables.lexicon, ROW)
+    found = nlp.join(people_ops.text_people(texts, tables.people, ROW), ROW, "left")
     adjusted = nlp_adjust(aligned.join(found, ROW, "left"))
     scored = finish(adjust_prediction(predict(reputation_apply(cast_blend(adjusted)))))
     return scored.select(
@@ -172,10 +202,11 @@ def linear_by_genre(train: DataFrame) -> DataFrame:
 
 
 def predict_linear(coefficients: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    def predict(df: DataFrame) -> DataFrame:
-        from marquee.operators.joins import salted_lookup
+    """Adds ``base_prediction`` from the genre's line; ``coefficients`` are written once, however often they are used."""
+    written = materialise(coefficients, "coefficients")
 
-        joined = salted_lookup(df, coefficients, ["primary_genre"], F.struct("movie_id", "title"))
+    def predict(df: DataFrame) -> DataFrame:
+        joined = lookup(df, written, ["primary_genre"])
         value = F.coalesce(c("intercept") + c("slope") * c("budget"), F.lit(0.0))
         return joined.withColumn("base_prediction", value).drop("slope", "intercept")
 

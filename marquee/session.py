@@ -44,6 +44,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def checkpointing(spark: SparkSession) -> SparkSession:
+    """Sees to it that iterative algorithms can checkpoint: in the folder of ``spark.checkpoint.dir``, which Spark
+    sets by itself, or under the shared scratch folder where that is not configured."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{scratch_root(spark).rstrip('/')}/checkpoints")
+    return spark
+
+
+def shared_path(spark: SparkSession, label: str, of: str) -> str:
+    """The folder in which this application keeps what it derives once from the data at ``of``."""
+    digest = uuid.uuid5(uuid.NAMESPACE_URL, of).hex
+    return f"{scratch_root(spark).rstrip('/')}/{label}-{spark.sparkContext.applicationId}-{digest}"
+
+
 def materialise(df, label: str):
     """Cut lineage by writing a table to the shared folder and reading it back."""
     path = scratch_path(df.sparkSession, label)

@@ -1,18 +1,24 @@
 """Operators on small fixtures: hand-worked cases, brute force, skew and invariants."""
 
+import inspect
 import json
 import random
 
 import numpy as np
 import pytest
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from marquee import bindings as b
 from marquee import schemas
 from marquee.functions import rules, text
-from marquee.operators import features, joins, lexicon, people, quantiles, similarity, stats
-from marquee.plans import final_dataset, learning, scoring
+from marquee.catalog import sources as catalog_sources
+from marquee.operators import features, joins, lexicon, numbering, people, quantiles, similarity, stats, tfidf
+from marquee.plans import final_dataset, learning, scoring, steps
 from marquee.session import scratch_path
-from marquee.sources import readers, sinks
+from marquee.sources import cache as persisted, readers, sinks
+from marquee.sources.versions import Versions
 
 
 def test_keep_first_and_plan(spark):
@@ -116,10 +122,10 @@ def brute_force(queries, references):
     return out
 
 
-@pytest.mark.parametrize("seed, broadcast", [(5, 500_000), (6, 500_000), (6, 0), (7, 0)])
-def test_similarity_matches_brute_force(spark, monkeypatch, seed, broadcast):
-    monkeypatch.setattr(similarity, "BROADCAST_TOKENS", broadcast)
-    monkeypatch.setattr(similarity, "HOT_TOKENS", 12)
+@pytest.mark.parametrize("seed, limits", [(5, {}), (6, {}), (6, {"PROBED": 1, "SMALLEST": 1}), (7, {"PROBED": 10_000})])
+def test_similarity_matches_brute_force(spark, monkeypatch, seed, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(similarity, name, value)
     rng = random.Random(seed)
     # Skewed words, so that some tokens are in most texts; a third of the references are copies of one text.
     words = [f"w{int(rng.paretovariate(0.6)) % 400:03d}" for _ in range(4000)]
@@ -130,7 +136,10 @@ def test_similarity_matches_brute_force(spark, monkeypatch, seed, broadcast):
     schema = "movie_id int, primary_genre string, overview string"
     q = spark.createDataFrame(queries, schema).withColumn("title", F.lit(""))
     r = spark.createDataFrame(references, schema).withColumn("title", F.lit(None).cast("string"))
-    got = {x.movie_id: (x.match_id, x.score) for x in similarity.most_similar(q, r).collect()}
+    # Lists of more than 10 postings are cut, so the longest lie in several slices.
+    index = similarity.build_index(r, slice_rows=10)
+    assert index.postings.agg(F.max("slice")).first()[0] >= 2
+    got = {x.movie_id: (x.match_id, x.score) for x in similarity.nearest(q, index).collect()}
     expected = brute_force(queries, references)
     assert got.keys() == expected.keys()
     for key, (match, score) in expected.items():
@@ -144,6 +153,67 @@ def test_similarity_without_references(spark):
     assert (got.kind, got.match_id) == ("fallback_default", None)
 
 
+def test_index_is_read_not_derived(spark, sf):
+    """One index serves any number of batches, and a batch reads no reference text."""
+    index = b.reference_index(spark, sf)
+    again = b.reference_index(spark, sf)
+    assert sorted(index.postings.inputFiles()) == sorted(again.postings.inputFiles())
+    out = similarity.social_signals(b.asked(spark, sf), again)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "documents.parquet" not in plan and "overview" not in plan
+
+
+def test_few_pairs_are_reached(spark, sf):
+    """Pairs met by the posting lists, of all pairs of a question and a set of its block."""
+    index = b.reference_index(spark, sf)
+    placed = b.asked(spark, sf).select(
+        F.lit("").alias("block"), similarity.text.tokenize(F.col("overview")).alias("tokens")).withColumn(
+        "set_key", similarity._set_key())
+    _, questions = similarity._questions(placed, index)
+    probed, rest = similarity.candidate_pairs(questions, index)
+    reached = probed.count() + rest.count()
+    assert probed.join(rest, ["ask", "set_id"]).count() == 0
+    assert 0 < reached <= 0.25 * questions.count() * index.sets.count()
+
+
+def test_ties_and_odd_texts_in_the_index(spark):
+    schema = "movie_id int, title string, overview string, primary_genre string"
+    refs = spark.createDataFrame([(9, "same words", "here", "a"), (4, "same words", "here", "a"), (3, None, None, "a"), (5, "", "the of", "a"),
+                                  (2, "same words", "here", "b"), (8, "x", "y" * 5000, None), (None, "same words", "here", "c")], schema)
+    asked = spark.createDataFrame([(1, "same", "words here", "A "), (1, "same", "words here", "zz"), (None, "words", None, None), (3, "of", "the", "b"),
+                                   (6, "nothing known", "", "a"), (7, None, None, None)], schema)
+    got = sorted(map(str, similarity.most_similar(asked, refs).collect()))
+    row = lambda *v: str(Row(movie_id=v[0], match_id=v[1], score=v[2], kind=v[3]))
+    assert got == sorted([row(1, 4, 1.0, "similar"), row(1, 2, 1.0, "similar"), row(None, 2, 1 / 3, "similar"),
+                          row(3, 2, None, "genre_default"), row(6, 4, 0.0, "similar"), row(7, 2, None, "genre_default")])
+
+
+def test_versions_switch_last(spark):
+    store = Versions(spark, scratch_path(spark, "versions"))
+    assert store.current() is None
+    with pytest.raises(LookupError):
+        store.read("t")
+    store.publish({"t": spark.range(3), "u": spark.range(1)}, "a")
+    held = store.read("t")
+    # A writer that fails between its tables and the switch leaves the old version to read.
+    store.stage({"t": spark.range(30)}, "b")
+    assert store.current() == "a" and store.read("t").count() == 3
+    with pytest.raises(ValueError):
+        store.stage({"t": spark.range(9)}, "a")
+    # The replay replaces what it had written; readers keep what they opened.
+    store.publish({"t": store.read("t").union(spark.range(10, 12))}, "b")
+    store.publish({"t": spark.range(99)}, "b")
+    assert store.current() == "b" and store.read("t").count() == 5 and held.count() == 3
+    assert store.read("u", "a").count() == 1
+
+
+def test_numbers_follow_the_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), F.lit("x").alias("extra"))
+    out = numbering.numbered(df, ["v"], "n").collect()
+    assert sorted((r.n, r.v) for r in out) == [(k, k) for k in range(1000)]
+    assert numbering.numbered(df.limit(0), ["v"], "n").count() == 0
+
+
 def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (4.0, 3.0)], "actual double, predicted double")
     m = stats.regression_metrics(df).first()
@@ -223,7 +293,44 @@ def test_model_sizes_are_the_references(spark):
     assert [size(m[k]) for m in (plain, large) for k in ("random_forest", "boosted")] == [
         (100, 30), (100, 6), (300, 20), (300, 10)]
     assert size(kinds["random_forest"]) == (100, 30) and size(kinds["boosted"].getClassifier()) == (100, 6)
-    assert kinds["logistic"].getMaxIter() == 1000 and size(learning.early_stopping_boosted("y", "held")) == (300, 8)
+    assert kinds["logistic"].getMaxIter() == 1000
+    defaults = inspect.signature(learning.fit_early_stopping).parameters
+    assert [defaults[n].default for n in ("rounds", "patience", "depth", "step")] == [300, 10, 8, 0.05]
+
+
+@pytest.mark.parametrize("errors, patience, expected", [
+    ([], 3, (0, False)), ([5.0], 3, (1, False)), ([5, 4, 3, 3, 3], 3, (3, False)), ([5, 4, 3, 3, 3, 3], 3, (3, True)),
+    # Worse for nine rounds, then better again, then worse for good; what comes after is not looked at.
+    ([9, 8] + [10] * 9 + [7] + [11] * 10 + [1], 10, (12, True)),
+    ([9, 8] + [10] * 10 + [7], 10, (2, True)),
+])
+def test_best_round(errors, patience, expected):
+    assert learning.best_round(errors, patience) == expected
+
+
+def _boosting_rows(spark):
+    """A line with noise: boosting first learns it, then the noise of the train rows."""
+    noise = F.pmod(F.xxhash64("movie_id"), F.lit(1000)) / 1000 - 0.5
+    df = spark.range(1500).select(F.col("id").alias("movie_id"), (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(997)) / 10).alias("budget"))
+    return learning.with_split(df.withColumn("revenue", F.col("budget") + noise * 60)).withColumn(
+        "held", F.pmod(F.xxhash64("movie_id", F.lit(9)), F.lit(4)) == 0)
+
+
+def test_early_stopping_keeps_the_best_round(spark):
+    df = _boosting_rows(spark)
+    stopped = learning.fit_early_stopping(df, "revenue", "held", rounds=60, patience=4, depth=6, step=0.3, least_rows=1)
+    trees = stopped.model.stages[-1]
+    assert 1 <= stopped.best < 60 and trees.getNumTrees == stopped.best and len(stopped.errors) == stopped.best + 4
+    assert min(stopped.errors) == stopped.errors[stopped.best - 1]
+    # The cut model predicts what a model trained for just so many rounds does, and it can be stored.
+    prepared = learning.prepare(df)
+    rows = prepared.ready.where("split = 'train' AND NOT held")
+    direct = GBTRegressor(labelCol="revenue", maxIter=stopped.best, stepSize=0.3, maxDepth=6, subsamplingRate=0.8, seed=42).fit(rows)
+    path = scratch_path(spark, "cut-model")
+    learning.save(stopped.model, path)
+    ours = {r.movie_id: r.predicted for r in learning.predict(learning.load(path), df).collect()}
+    theirs = {r.movie_id: r.prediction for r in direct.transform(prepared.ready).collect()}
+    assert ours.keys() == theirs.keys() and all(ours[k] == pytest.approx(theirs[k]) for k in ours)
 
 
 def test_report_schema_matches(spark):
@@ -243,8 +350,9 @@ def test_scoring_keeps_records_apart(spark):
     people = spark.createDataFrame([], "person_id bigint, name string, popularity double")
     roi = spark.createDataFrame([], "name string, roi double")
     predict = lambda df: df.withColumn("base_prediction", F.lit(5e6))
+    tables = scoring.publish_tables(spark, scratch_path(spark, "tables"), "1", people, roi, _lexicon(spark))
     for records in (spark.createDataFrame(rows, names), spark.createDataFrame(rows, names).drop("movie_id")):
-        out = scoring.score(records, predict, people, roi, _lexicon(spark)).collect()
+        out = scoring.score(records, predict, tables).collect()
         felt = sorted(r.debug_info.nlp_analysis.sentiment_score for r in out)
         assert felt == pytest.approx([-0.7, 0.7, 0.7])
 
@@ -256,7 +364,7 @@ def test_scoring_takes_the_nearest_titles_signals(spark):
                                   "movie_id bigint, title string, overview string, primary_genre string, "
                                   "youtube_sentiment double, sentiment_volatility double, trend_momentum double")
     numbered = scoring.with_row_id(records)
-    out = scoring.apply_social(numbered, known).select("title", "youtube_sentiment").collect()
+    out = scoring.apply_social(numbered, similarity.build_index(known)).select("title", "youtube_sentiment").collect()
     assert {tuple(r) for r in out} == {("A", 9.0), ("B", 3.0)}
 
 
@@ -330,3 +438,110 @@ def test_rules_with_nulls(spark):
         rules.outcome_class(F.lit(5.0), F.lit(None).cast("double"), F.lit(0)).alias("c"),
         text.extract_names(F.lit("\tAnn Lee - lead")).alias("n")).first()
     assert (row.f, row.c, row.n) == (1.0, "Unknown", ["Ann Lee"])
+
+
+# --- the run in steps, the persisted cache, correlations, labels, terms ---
+
+def test_a_failing_step_ends_the_run(spark):
+    root, ran = scratch_path(spark, "run"), []
+
+    def step(name):
+        def work():
+            ran.append(name)
+            if name == "four":
+                raise ValueError("no such column\nand more")
+            return {name: spark.range(len(ran))}
+        return name, work
+
+    ledger = steps.run(spark, root, [("one", None), *map(step, ["two", "three", "four", "five", "six", "seven"])])
+    rows = [(r.step, r.status, [tuple(t) for t in r.tables], r.error) for r in ledger.orderBy("step").collect()]
+    assert rows == [(1, "skipped", [], None), (2, "done", [("two", 1)], None), (3, "done", [("three", 2)], None),
+                    (4, "failed", [], "ValueError: no such column"), (5, "not run", [], None), (6, "not run", [], None),
+                    (7, "not run", [], None)]
+    assert ran == ["two", "three", "four"]
+
+
+def test_seven_steps_train_on_the_written_dataset(spark, sf):
+    ledger = {r.name: r for r in catalog_sources.pipeline_run(spark, sf).collect()}
+    assert [ledger[n].status for n in ("collection", "cleaning", "comment sentiment", "features", "integration", "training", "reports")] \
+        == ["skipped"] + ["done"] * 6, [r.error for r in ledger.values()]
+    assert {t.name for t in ledger["training"].tables} == {"regression_models", "classification_models"}
+    assert all(t.rows > 0 for n in ("integration", "training", "reports") for t in ledger[n].tables)
+
+
+def test_a_failed_refresh_leaves_the_old_cache(spark):
+    store = Versions(spark, scratch_path(spark, "cache"))
+    ids = spark.createDataFrame([(1,), (2,), (2,), (None,)], "movie_id int")
+    empty = spark.createDataFrame([], "movie_id int, origin string")
+    fetched = lambda origin: lambda missing: missing.withColumn("origin", F.lit(origin))
+    seen = lambda df: sorted(map(tuple, df.collect()))
+    assert seen(persisted.refresh(store, "c", ids, fetched("a"), "movie_id", "1", empty)) == [(1, "a"), (2, "a")]
+
+    more = ids.union(spark.createDataFrame([(3,)], "movie_id int"))
+    committed = store.commit
+    store.commit = lambda version: (_ for _ in ()).throw(RuntimeError("lost between write and switch"))
+    with pytest.raises(RuntimeError):
+        persisted.refresh(store, "c", more, fetched("b"), "movie_id", "2", empty)
+    store.commit = committed
+    assert store.current() == "1" and seen(store.read("c")) == [(1, "a"), (2, "a")]
+    for _ in range(2):  # the replay, and another one
+        assert seen(persisted.refresh(store, "c", more, fetched("b"), "movie_id", "2", empty)) == [(1, "a"), (2, "a"), (3, "b")]
+
+
+def test_correlations_over_gaps_and_far_from_zero(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e9, 1, (400, 4))
+    x[:, 1] = x[:, 0] * 3 + rng.normal(0, 2, 400)
+    x[:, 3] = 0.1
+    hole = rng.random((400, 4)) < 0.3
+    rows = [[None if h else float(v) for v, h in zip(*r)] for r in zip(x, hole)]
+    df = spark.createDataFrame([*rows, [None, None, float("nan"), 1.0]], "a double, b double, c double, d double").repartition(5)
+    got = {(r.a, r.b): r.correlation for r in stats.correlation_matrix(df.where("NOT coalesce(isnan(c), false)"), list("abcd")).collect()}
+    assert len(got) == 16
+    for i, p in enumerate("abc"):
+        for j, q in enumerate("abc"):
+            both = ~hole[:, i] & ~hole[:, j]
+            assert got[p, q] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-7)
+        assert got[p, "d"] is None and got["d", p] is None
+    with_nan = {(r.a, r.b): r.correlation for r in stats.correlation_matrix(df, list("acd")).collect()}
+    assert np.isnan(with_nan["c", "d"]) and with_nan["a", "c"] == pytest.approx(got["a", "c"], abs=1e-7)
+    assert all(r.correlation is None for r in stats.correlation_matrix(df.limit(0), ["a", "b"]).collect())
+
+
+def test_labels_without_one_task_that_holds_them(spark):
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("string").alias("s")).union(
+        spark.createDataFrame([(None,), ("5",)], "s string"))
+    out = stats.label_encode(df, "s")
+    assert "collect_set" not in out._jdf.queryExecution().toString()
+    labels = sorted({r.s for r in df.collect() if r.s is not None})
+    place = {s: k for k, s in enumerate(labels)}
+    assert all(r.s_index == (place[r.s] if r.s is not None else None) for r in out.collect())
+
+
+def test_terms_are_counted_in_their_row(spark):
+    texts = ["The cat sat, the cat ran", "a dog ran", "", None, "cat " * 30_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    out = tfidf.tfidf_terms(df, "id", "t", 3)
+    plan = tfidf.vocabulary(df, "t", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan and "hashpartitioning(term" in plan
+    idf = {"cat": np.log(6 / 3) + 1, "ran": np.log(6 / 3) + 1, "dog": np.log(6 / 2) + 1}
+    norm = lambda w: {t: v / np.sqrt(sum(x * x for x in w.values())) for t, v in w.items()}
+    expected = {0: norm({"cat": 2 * idf["cat"], "ran": idf["ran"]}), 1: norm({"dog": idf["dog"], "ran": idf["ran"]}), 4: {"cat": 1.0}}
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.id, {})[r.term] = r.tfidf
+    assert got.keys() == expected.keys() and all(got[k] == pytest.approx(expected[k]) for k in got)
+
+
+def test_model_terms_have_the_same_weights(spark):
+    df = learning.with_split(spark.createDataFrame(
+        [(k, "cat sat" if k % 3 else "dog ran ran", "Drama", float(k), float(k)) for k in range(60)],
+        "movie_id long, overview string, primary_genre string, budget double, revenue double"))
+    prepared = learning.prepare(df)
+    train = df.where("split = 'train'")
+    names = [r.term for r in tfidf.vocabulary(train, "overview").collect()]
+    ours = {}
+    for r in tfidf.tfidf_terms(train, "movie_id", "overview").collect():
+        ours.setdefault(r.movie_id, {})[r.term] = r.tfidf
+    for r in prepared.ready.where("split = 'train'").select("movie_id", "terms").collect():
+        assert {names[i]: v for i, v in zip(r.terms.indices, r.terms.values)} == pytest.approx(ours[r.movie_id])
