@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 QUERIES = entry.queries()
-EAGER = {"stream_scoring", "similar_title", "infer_social", "pipeline"}
+EAGER = {"stream_scoring", "similar_title", "infer_social", "pipeline", "pipeline_run"}
 LAZY = sorted(n for n in QUERIES if not n.startswith(("ml_", "scan_", "sink_", "csv_", "op")) and n not in EAGER)
 
 
