@@ -14,7 +14,12 @@ phrase, it keeps the earliest scan after which any phrase of that slot had
 reached it.  Two phrases in one slot can only make a third one active too early,
 alike in every task, which costs counting and changes no count.  Counts travel
 under 93 bits of the phrase's hash and its length; the words of what reached
-the threshold are looked up in one more scan.
+the threshold are looked up in one more scan, each once a task.
+
+A phrase's cycle lies within as many consecutive scans as there are shards, so
+the totals of every such window are written, and a scan that no later window
+needs is deleted: the scratch folder holds one window, however many scans there
+are.
 """
 
 from __future__ import annotations
@@ -160,22 +165,40 @@ def _distinct(places, value):
     return places[new], value[new], np.diff(np.append(new, len(places)))
 
 
+def _unseen(value, seen):
+    """Which of these hashes are not among ``seen``, and all of both, ordered by their first half.
+
+    One whose first half another has may come again.
+    """
+    import numpy as np
+
+    at = np.searchsorted(seen[:, 0], value[:, 0])
+    there = np.flatnonzero(at < len(seen))
+    new = np.ones(len(value), bool)
+    new[there] = (seen[at[there]] != value[there]).any(axis=1)
+    both = np.concatenate([seen, value[new]])
+    return new, both[np.argsort(both[:, 0], kind="stable")]
+
+
 def _of_blocks(sent, work):
-    """Task function: ``work(reached, blocks)`` for as many blocks as make a chunk; a block is lang, words, numbers."""
+    """Task function: ``work(reached, blocks, own)`` for as many blocks as make a chunk; a block is lang, words, numbers.
+
+    ``own`` is a dict that lasts as long as the task.
+    """
     def run(batches):
         import numpy as np
 
-        reached, held, size = np.frombuffer(zlib.decompress(sent.value), np.uint8), [], 0
+        reached, held, size, own = np.frombuffer(zlib.decompress(sent.value), np.uint8), [], 0, {}
         for batch in batches:
             for lang, words, numbers in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "numbers"))):
                 if words:
                     held.append((lang, words.split(b"\n"), np.frombuffer(numbers, np.int32)))
                     size += len(held[-1][2])
                 if size >= CHUNK:
-                    yield from work(reached, held)
+                    yield from work(reached, held, own)
                     held, size = [], 0
         if held:
-            yield from work(reached, held)
+            yield from work(reached, held, own)
 
     return run
 
@@ -191,7 +214,7 @@ def _joined(held):
 
 def _counter(sent, scan: int, shards: int, longest: int):
     """Task function: (k1, k2, n) of the phrases that are active and in their cycle; one may come in several rows."""
-    def counted(reached, held):
+    def counted(reached, held, _):
         import pyarrow as pa
 
         ids, hashes = _joined(held)
@@ -210,8 +233,11 @@ def _counter(sent, scan: int, shards: int, longest: int):
 
 
 def _namer(sent, longest: int):
-    """Task function: (k1, k2, lang, phrase) of all phrases in reached slots; one may come in several rows."""
-    def named(reached, held):
+    """Task function: (k1, k2, lang, phrase) of all phrases in reached slots, one row a task for each.
+
+    A task remembers the hashes of those it has named, 16 bytes each.
+    """
+    def named(reached, held, own):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -223,6 +249,8 @@ def _namer(sent, longest: int):
         for size, places, value, _ in _chain(ids, hashes, reached, NEVER, longest):
             there = _since(value, reached) < NEVER
             at, value, _ = _distinct(places[there], value[there])
+            new, own[size] = _unseen(value, own.get(size, value[:0]))
+            at, value = at[new], value[new]
             if not len(at):
                 continue
             runs = [words.take(pa.array(ids[at + k] - 1)) for k in range(size)]
@@ -259,7 +287,7 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
 
     table = np.full(slots, NEVER, np.uint8)
     least = -(-threshold // shards)  # what reaches the threshold within a cycle has so many in one of its scans
-    scans, scan, wait = [], 0, shards
+    scans, windows, scan, wait = [], [], 0, shards
     while scan < wait:
         if scan >= NEVER:
             raise ValueError("more scans than the table can number: use fewer shards")
@@ -270,10 +298,14 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
         (found.groupBy("k1", "k2").agg(F.sum("n").alias("n")).withColumn("often", F.col("n") >= least)
          .write.partitionBy("often").parquet(path))
         sent.destroy()
-        scans.append(spark.read.schema("k1 long, k2 int, n long, often boolean").parquet(path))
+        scans.append(path)
         # A phrase's cycle lies within the last scans; what was not often in one of them is below the threshold.
+        rows = [spark.read.schema("k1 long, k2 int, n long, often boolean").parquet(p) for p in scans[-shards:]]
+        windows.append(materialise(_totals(rows, threshold), "phrase-window"))
+        if scan + 1 >= shards:
+            _forget(spark, scans[-shards])
         # At most one row per slot and length comes here.
-        now = _totals(scans[-shards:], threshold).select(
+        now = windows[-1].select(
             F.col("k1").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot"),
             (F.col("k2").bitwiseAND(F.lit(7)) < longest).alias("extends")).distinct().toArrow()
         slot = now["slot"].to_numpy()
@@ -283,7 +315,8 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
         table[slot[new]] = scan
         scan += 1
 
-    reached = materialise(_totals(scans, threshold).withColumnRenamed("n", "f"), "phrases-reached")
+    # The window of a phrase's cycle holds its count, others hold a part of it.
+    reached = materialise(reduce(DataFrame.unionByName, windows).groupBy("k1", "k2").agg(F.max("n").alias("f")), "phrases-reached")
     sent = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
     named = corpus.select("lang", "words", "numbers").mapInArrow(_namer(sent, longest), "k1 long, k2 int, lang string, phrase string")
     counts = named.distinct().join(few(reached), ["k1", "k2"])
@@ -294,6 +327,12 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     return out, materialise(n, "phrase-words")
 
 
+def _forget(spark, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _totals(scans: list[DataFrame], threshold: int) -> DataFrame:
     """(k1, k2, n): the phrases that reach the threshold over these scans, with their sums."""
     rows = reduce(DataFrame.unionByName, scans)

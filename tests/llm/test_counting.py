@@ -118,6 +118,27 @@ def test_phrases_activate_as_soon_as_their_parts_are_known():
     assert found == {0: [], 1: [], 2: [(2, [5], [1])], 3: [(2, [0, 1, 5], [2, 2, 1])]}
 
 
+def test_tasks_name_a_phrase_once():
+    value = np.array([[5, 1], [7, 2], [7, 3]], np.uint64)
+    new, seen = collocations._unseen(value, value[:0])
+    assert new.all() and seen.tolist() == value.tolist()
+    new, seen = collocations._unseen(np.array([[1, 1], [5, 1], [5, 2], [9, 9]], np.uint64), seen)
+    assert new.tolist() == [True, False, True, True]
+    assert seen.tolist() == [[1, 1], [5, 1], [5, 2], [7, 2], [7, 3], [9, 9]]
+
+
+def test_only_the_last_scans_stay_on_disk(spark, monkeypatch):
+    """The first scans are gone, and the counts are those of whole cycles."""
+    gone, forget = [], collocations._forget
+    monkeypatch.setattr(collocations, "_forget", lambda s, path: (gone.append(path), forget(s, path)))
+    rows = spoken(8, 80)
+    got = collocations.collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3), 10, shards=3)
+    assert sorted(map(tuple, got.collect())) == plain_phrases(rows, 10)
+    assert len(gone) > 2 and len(set(gone)) == len(gone)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone[0])
+
+
 # --- filters -----------------------------------------------------------------
 
 def plain_audit(rows, labels):
