@@ -14,7 +14,10 @@ phrase, it keeps the earliest scan after which any phrase of that slot had
 reached it.  Two phrases in one slot can only make a third one active too early,
 alike in every task, which costs counting and changes no count.  Counts travel
 under 93 bits of the phrase's hash and its length; the words of what reached
-the threshold are looked up in one more scan, each once a task.
+the threshold are looked up in one more scan.  It begins with one block in 64,
+and takes four times as many with each turn, looking only for what has no words
+yet; so a frequent phrase is not sent by every task, and a rare one is found at
+the latest in the last turn.
 
 A phrase's cycle lies within as many consecutive scans as there are shards, so
 the totals of every such window are written, and a scan that no later window
@@ -37,6 +40,8 @@ from marquee.session import materialise, scratch_path
 LONGEST = 5
 #: Entries of the table of reached phrases, one byte each: its size does not depend on the data.  A power of two.
 SLOTS = 1 << 24
+#: The look-up of words takes one block in so many at each turn, less those of the turns before.
+TURNS = (64, 16, 4, 1)
 #: Bytes of text in a written block, and words that a task holds as arrays at once.
 BLOCK, CHUNK = 1 << 21, 1 << 20
 NEVER = 255
@@ -232,8 +237,8 @@ def _counter(sent, scan: int, shards: int, longest: int):
     return _of_blocks(sent, counted)
 
 
-def _namer(sent, longest: int):
-    """Task function: (k1, k2, lang, phrase) of all phrases in reached slots, one row a task for each.
+def _namer(sent, wanted, longest: int):
+    """Task function: (k1, k2, lang, phrase) of all phrases in wanted slots, one row a task for each.
 
     A task remembers the hashes of those it has named, 16 bytes each.
     """
@@ -242,12 +247,14 @@ def _namer(sent, longest: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        if "wanted" not in own:
+            own["wanted"] = np.frombuffer(zlib.decompress(wanted.value), np.uint8)
         ids, hashes = _joined(held)
         words = pa.array([w for _, words, _ in held for w in words], pa.binary())
         langs = pa.array([lang for lang, *_ in held], pa.string())
         block_of = np.repeat(np.arange(len(held)), [len(w) for _, w, _ in held])  # by word
         for size, places, value, _ in _chain(ids, hashes, reached, NEVER, longest):
-            there = _since(value, reached) < NEVER
+            there = _since(value, own["wanted"]) < NEVER
             at, value, _ = _distinct(places[there], value[there])
             new, own[size] = _unseen(value, own.get(size, value[:0]))
             at, value = at[new], value[new]
@@ -281,9 +288,11 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     dealt = scratch_path(spark, "phrase-shards")
     # Blocks are dealt in turn, each task beginning with another shard.
     turn = F.spark_partition_id() + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    (blocks.withColumn("shard", F.pmod(turn, F.lit(shards)).cast("int"))
+    place = F.floor(turn / shards)
+    look_up = F.coalesce(*[F.when(place % every == 0, k) for k, every in enumerate(TURNS)])
+    (blocks.select("*", F.pmod(turn, F.lit(shards)).cast("int").alias("shard"), look_up.alias("turn"))
      .write.partitionBy("shard").option("compression", "zstd").parquet(dealt))
-    corpus = spark.read.schema("lang string, words binary, numbers binary, n long, shard int").parquet(dealt)
+    corpus = spark.read.schema("lang string, words binary, numbers binary, n long, turn int, shard int").parquet(dealt)
 
     table = np.full(slots, NEVER, np.uint8)
     least = -(-threshold // shards)  # what reaches the threshold within a cycle has so many in one of its scans
@@ -317,14 +326,24 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
 
     # The window of a phrase's cycle holds its count, others hold a part of it.
     reached = materialise(reduce(DataFrame.unionByName, windows).groupBy("k1", "k2").agg(F.max("n").alias("f")), "phrases-reached")
-    sent = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
-    named = corpus.select("lang", "words", "numbers").mapInArrow(_namer(sent, longest), "k1 long, k2 int, lang string, phrase string")
-    counts = named.distinct().join(few(reached), ["k1", "k2"])
+    sent, left, parts = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1)), reached, []
+    for k in range(len(TURNS)):
+        slot = left.select(F.col("k1").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
+        table = np.full(slots, NEVER, np.uint8)
+        table[slot] = 0
+        wanted = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
+        found = corpus.where(F.col("turn") == k).select("lang", "words", "numbers").mapInArrow(
+            _namer(sent, wanted, longest), "k1 long, k2 int, lang string, phrase string")
+        parts.append(materialise(found.distinct().join(few(left), ["k1", "k2"]), "phrase-words"))
+        wanted.destroy()
+        left = materialise(left.join(parts[-1].select("k1", "k2"), ["k1", "k2"], "left_anti"), "phrases-left")
+        if left.isEmpty():
+            break
+    sent.destroy()
     size = F.col("k2").bitwiseAND(F.lit(7)).cast("int").alias("size")
     n = corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
-    out = materialise(counts.select("lang", size, "phrase", "f"), "phrase-counts")
-    sent.destroy()
-    return out, materialise(n, "phrase-words")
+    counts = reduce(DataFrame.unionByName, parts).select("lang", size, "phrase", "f")
+    return materialise(counts, "phrase-counts"), materialise(n, "words-of-languages")
 
 
 def _forget(spark, path: str) -> None:

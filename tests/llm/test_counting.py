@@ -127,6 +127,14 @@ def test_tasks_name_a_phrase_once():
     assert seen.tolist() == [[1, 1], [5, 1], [5, 2], [7, 2], [7, 3], [9, 9]]
 
 
+def test_words_are_looked_up_in_turns(spark, monkeypatch):
+    """Many small blocks, so that every turn has some, and phrases that stand in the last turn's blocks only."""
+    monkeypatch.setattr(collocations, "BLOCK", 200)
+    rows = spoken(4, 120) + [("fr", f"only here {k % 3}, once more") for k in range(30)]
+    got = collocations.collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3), 10)
+    assert sorted(map(tuple, got.collect())) == plain_phrases(rows, 10)
+
+
 def test_only_the_last_scans_stay_on_disk(spark, monkeypatch):
     """The first scans are gone, and the counts are those of whole cycles."""
     gone, forget = [], collocations._forget
