@@ -31,6 +31,12 @@ def test_overview_stats_merges_the_sums_of_the_texts(spark):
     assert len(rows) == 200 and got[0] == 0.7 and round(got[1], 9) == round((0.7 - 1.4) / 3, 9) and got[2] is None
 
 
+def test_nlp_adjust_merges_the_scores_of_the_records(spark, sf):
+    plan, rows = _final_plan(load_all()[0]["nlp_adjust"](spark, sf))
+    assert "BroadcastHashJoin [movie_id" not in plan
+    assert len(rows) == bindings.table(spark, sf, "orders").count()
+
+
 def test_a_long_word_list_is_shuffled(spark, monkeypatch):
     monkeypatch.setattr(joins, "FEW_WORDS", 1)
     words = spark.createDataFrame([(1, "good"), (2, "bad"), (2, "bad"), (3, "other")], "id long, token string")
