@@ -37,6 +37,16 @@ def test_nlp_adjust_merges_the_scores_of_the_records(spark, sf):
     assert len(rows) == bindings.table(spark, sf, "orders").count()
 
 
+def test_words_of_a_comment_are_summed_in_its_task(spark):
+    comments = _texts(spark).select(F.col("movie_id").alias("id"), F.col("overview").alias("text"))
+    plan, rows = _final_plan(lexicon.comment_scores(comments, spark.createDataFrame(WORDS, LEXICON), ["id"]))
+    # The list goes to the words, and a text's words are summed before any shuffle.
+    assert re.search(r"BroadcastHashJoin \[token[^\]]*\], \[token[^\]]*\], Inner, BuildRight", plan)
+    assert "hashpartitioning(token" not in plan
+    got = {r.id: r.compound for r in rows}
+    assert len(got) == 200 and got[0] > 0 > got[1] and got[2] == 0
+
+
 def test_a_long_word_list_is_shuffled(spark, monkeypatch):
     monkeypatch.setattr(joins, "FEW_WORDS", 1)
     words = spark.createDataFrame([(1, "good"), (2, "bad"), (2, "bad"), (3, "other")], "id long, token string")
