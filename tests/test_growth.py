@@ -53,3 +53,10 @@ def test_a_long_word_list_is_shuffled(spark, monkeypatch):
     plan, rows = _final_plan(joins.word_join(words, spark.createDataFrame(WORDS, LEXICON), "token", "list"))
     assert "SortMergeJoin [token" in plan
     assert sorted((r.id, r.valence) for r in rows) == [(1, 1.9), (2, -2.5), (2, -2.5)]
+
+
+def test_prepared_rows_hold_features_only(spark, sf):
+    df = learning.with_split(bindings.facts(spark, sf))
+    ready = learning.prepare(df).ready
+    assert sorted(ready.columns) == sorted([*df.columns, "features"])
+    assert ready.where("features IS NULL").isEmpty()
