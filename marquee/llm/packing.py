@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections import deque
 
 from pyspark.sql import DataFrame
@@ -39,7 +40,23 @@ COLUMNS = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
 
 # Chunks of Latin letters and then ASCII marks (no apostrophe) fall into two pre-tokens and are lower-cased letter by letter.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)").fullmatch
-_BLANKS = re.compile(r"[ \n\t\r]+")
+# A mark after a letter always begins a pre-token, so a blank may stand between them: words with and without are one chunk.
+_MARK = re.compile(r"[.,;:!?](?<=[A-Za-z].)")
+
+
+class _Remembered(dict):
+    """What ``make`` gives for a key, remembered; forgets all when ``limit`` keys are held."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) >= self.limit:
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Encoder:
@@ -50,58 +67,40 @@ class Encoder:
     (up to ``limit`` chunks).  Only the library's model decides on ids.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.limit = limit
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.chunks = _Remembered(self._chunk, limit)
         # The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(256 + k) for k, b in enumerate(hidden)}
 
     def _piece(self, piece: str) -> bytes:
-        from array import array
-
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-            found = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-        return found
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        from array import array
-
+        if not chunk:
+            return b""
         simple = _SIMPLE(chunk)
-        if simple:
-            letters, marks = simple.groups()
-            out = (self._piece(letters.lower()) if letters else b"") + (self._piece(marks) if marks else b"")
-        else:
-            out = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        self.chunks[chunk] = out
-        return out
+        if not simple:
+            return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        letters, marks = simple.groups()
+        small = letters.lower()
+        if letters and marks:
+            return self.chunks[small] + self.chunks[marks]
+        return self._piece(chunk) if small == letters else self.chunks[small]
 
     def encode(self, text: str) -> bytes:
-        if len(self.chunks) >= self.limit:
-            self.chunks.clear()
-        chunks, known = _split(text), self.chunks
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            for chunk in chunks:
-                if chunk not in known:
-                    self._chunk(chunk)
-            return b"".join(map(known.__getitem__, chunks))
+        return b"".join(map(self.chunks.__getitem__, _split(text)))
 
 
 def _split(text: str) -> list[str]:
     # Not str.split(): white space beyond these is left to the tokenizer.
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    return _MARK.sub(r" \g<0>", text.replace("\n", " ").replace("\t", " ").replace("\r", " ")).split(" ")
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -283,3 +283,19 @@ def test_packed_ids_equal_the_library(spark, none):
     used = sum(r.length for r in got)
     assert used / (2048 * len(sequences)) > 0.9
     assert packing.pack(none, packing.tokenizer_path()).count() == 0
+
+
+def test_words_are_remembered_without_their_marks():
+    import numpy as np
+
+    words = prose(1, 40).replace(".", "").split()
+    encoder = packing.Encoder(packing.tokenizer_path())
+    odd = ["river", "CAF\u00c9", "Stra\u00dfe", "U.S.", "e\u0301", "don't", "3.14", "\u03a3a", "<|ENDOFTEXT|>", "a\u0338", "\u65e5\u672c"]
+    for word in [*odd, *words]:
+        for mark in [".", ",", ";", ":", "!", "?", "...", "?!", "'s.", ".)", "'", ""]:
+            for text in (word + mark, word.upper() + mark + " x", f"({word}{mark}{word.title()}{mark}"):
+                ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids, text
+    encoder = packing.Encoder(packing.tokenizer_path())
+    encoder.encode(" ".join(w + m for w in words for m in ".,;:!?"))
+    assert len(encoder.chunks) == len(set(words)) + 6  # before: a chunk for every word with each mark
