@@ -14,10 +14,11 @@ phrase, it keeps the earliest scan after which any phrase of that slot had
 reached it.  Two phrases in one slot can only make a third one active too early,
 alike in every task, which costs counting and changes no count.  Counts travel
 under 93 bits of the phrase's hash and its length; the words of what reached
-the threshold are looked up in one more scan.  It begins with one block in 64,
-and takes four times as many with each turn, looking only for what has no words
-yet; so a frequent phrase is not sent by every task, and a rare one is found at
-the latest in the last turn.
+the threshold are looked up in one more scan.  It begins with about two blocks,
+however many there are, and takes twice as many as all before with each turn,
+looking only for what has no words yet; so a phrase is sent by a few blocks,
+frequent or rare, in a small corpus or a large one, and the last turn takes all
+that are left.
 
 A phrase's cycle lies within as many consecutive scans as there are shards, so
 the totals of every such window are written, and a scan that no later window
@@ -40,8 +41,10 @@ from marquee.session import materialise, scratch_path
 LONGEST = 5
 #: Entries of the table of reached phrases, one byte each: its size does not depend on the data.  A power of two.
 SLOTS = 1 << 24
-#: The look-up of words takes one block in so many at each turn, less those of the turns before.
-TURNS = (64, 16, 4, 1)
+#: The look-up of words takes so many blocks at first, and this many times as many as all before at each further turn.
+FIRST_TURN, GROWTH = 2, 2
+#: Blocks are dealt into so many lots, of which a turn takes some.
+LOTS = 1 << 20
 #: Bytes of text in a written block, and words that a task holds as arrays at once.
 BLOCK, CHUNK = 1 << 21, 1 << 20
 NEVER = 255
@@ -288,11 +291,10 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     dealt = scratch_path(spark, "phrase-shards")
     # Blocks are dealt in turn, each task beginning with another shard.
     turn = F.spark_partition_id() + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    place = F.floor(turn / shards)
-    look_up = F.coalesce(*[F.when(place % every == 0, k) for k, every in enumerate(TURNS)])
-    (blocks.select("*", F.pmod(turn, F.lit(shards)).cast("int").alias("shard"), look_up.alias("turn"))
+    lot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(LOTS)).cast("int")
+    (blocks.select("*", F.pmod(turn, F.lit(shards)).cast("int").alias("shard"), lot.alias("lot"))
      .write.partitionBy("shard").option("compression", "zstd").parquet(dealt))
-    corpus = spark.read.schema("lang string, words binary, numbers binary, n long, turn int, shard int").parquet(dealt)
+    corpus = spark.read.schema("lang string, words binary, numbers binary, n long, lot int, shard int").parquet(dealt)
 
     table = np.full(slots, NEVER, np.uint8)
     least = -(-threshold // shards)  # what reaches the threshold within a cycle has so many in one of its scans
@@ -327,12 +329,12 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     # The window of a phrase's cycle holds its count, others hold a part of it.
     reached = materialise(reduce(DataFrame.unionByName, windows).groupBy("k1", "k2").agg(F.max("n").alias("f")), "phrases-reached")
     sent, left, parts = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1)), reached, []
-    for k in range(len(TURNS)):
+    for first, last in turns(corpus.count()):
         slot = left.select(F.col("k1").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
         table = np.full(slots, NEVER, np.uint8)
         table[slot] = 0
         wanted = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
-        found = corpus.where(F.col("turn") == k).select("lang", "words", "numbers").mapInArrow(
+        found = corpus.where(F.col("lot").between(first, last - 1)).select("lang", "words", "numbers").mapInArrow(
             _namer(sent, wanted, longest), "k1 long, k2 int, lang string, phrase string")
         parts.append(materialise(found.distinct().join(few(left), ["k1", "k2"]), "phrase-words"))
         wanted.destroy()
@@ -346,6 +348,15 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = LONGEST,
     return materialise(counts, "phrase-counts"), materialise(n, "words-of-languages")
 
 
+def turns(blocks: int) -> list[tuple[int, int]]:
+    """The lots (first, first of the next turn) that the look-up takes turn by turn, all lots in the end."""
+    edges, taken = [0], FIRST_TURN
+    while taken < blocks:
+        edges.append(max(edges[-1] + 1, LOTS * taken // blocks))
+        taken += GROWTH * taken
+    return list(zip(edges, [*edges[1:], LOTS]))
+
+
 def _forget(spark, path: str) -> None:
     """Deletes a table of the shared folder that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -294,3 +294,16 @@ def test_neither_join_nor_merge_shuffles_a_run(spark):
 def test_keys_of_lines():
     assert linedup.line_keys(" A\tb \r\n\n\x0bÄ\n") == [b"a\tb", b"", "Ä".encode(), b""]
     assert linedup.line_keys(None) == [b""]
+
+
+def test_the_look_up_begins_with_two_blocks_however_many_there_are():
+    for blocks in (0, 1, 2, 3, 100, 826, 5_000, 3_000_000):
+        found = collocations.turns(blocks)
+        edges = [0, *[last for _, last in found]]
+        assert [first for first, _ in found] == edges[:-1] and edges[-1] == collocations.LOTS
+        assert all(a < b for a, b in found)
+        for k, (first, last) in enumerate(found[:-1]):
+            # Before: a share of all blocks at first, so that a phrase was sent by more blocks the larger the corpus.
+            wanted = max((last - first) * blocks / collocations.LOTS for first, last in found[:1])
+            assert wanted <= max(collocations.FIRST_TURN, blocks / collocations.LOTS) + 1e-9
+            assert last <= max((1 + collocations.GROWTH) * first + 2, found[0][1])
