@@ -1,10 +1,9 @@
-"""SentencePiece encoding and decoding as relations.
+"""SentencePiece encoding and decoding over word lattices.
 
 A text is its words: blanks become marks ``▁`` at the front of the next word, and
-a line break is a word of its own, so no piece crosses from one word to another.  Distinct words are exploded into their substrings of at most the
-longest piece's length, equi-joined to the piece table, and the matches grouped
-by word again: the word's lattice.  A Spark ``aggregate`` folds the lattice into
-the word's pieces:
+a line break is a word of its own, so no piece crosses from one word to another.
+A word's lattice has its characters as places and the pieces found in it as
+edges.  It is folded into the word's pieces:
 
 * ``unigram`` tables by Viterbi: the path of the greatest total score;
 * ``bpe`` tables by merges: of the lattice's edges that join two neighbouring
@@ -14,24 +13,28 @@ the word's pieces:
 
 Characters without a piece become the pieces of their UTF-8 bytes.
 
-Documents are dealt into blocks; a block's distinct words are encoded once, and
-its documents are put together from them.  One shuffle brings a block's
-documents together; grouping and joining by block reuse it.
+Encoding and decoding are row-local: the piece table travels to the tasks, whose
+words are folded once each and remembered, and no document is shuffled.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+from array import array
+from itertools import accumulate
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.registry import documents, query
 
 MARK = "▁"
-BLOCK_ROWS = 1_024
+BLOCK_ROWS = 512          # documents whose ids are held at once
+REMEMBERED = 400_000      # words whose ids a task holds
+LONG_WORD = 64            # characters from which a word is not remembered, and folded through a heap
 #: Below every score, as the library sets it for characters without a piece.
 UNKNOWN = 10.0
 
@@ -84,137 +87,149 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def word_column(text: Column) -> Column:
-    """The same as ``words_of``."""
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(text != "", F.regexp_extract_all(marked, F.lit(f"\\n|{MARK}*[^{MARK}\\n]+|{MARK}+"), F.lit(0))).otherwise(
-        F.array().cast("array<string>"))
+def _fold_bpe(word: str, ranks: dict) -> list[str]:
+    """The symbols of a word after all merges: best rank first, then leftmost.
 
-
-def _pieces(spark, vocabulary: Vocabulary) -> DataFrame:
-    # Bounded by the vocabulary file.
-    return F.broadcast(spark.createDataFrame(vocabulary.pieces, "piece string, id int, score double"))
-
-
-def lattices(words: DataFrame, vocabulary: Vocabulary, keys: list[str]) -> DataFrame:
-    """(keys, word, edges): each word's matches as (start, end, id, score), ``end`` exclusive.
-
-    Words must be distinct within ``keys``.  A word without any match keeps its row, with no edges.
+    ``ranks`` has every piece of two or more characters.
     """
-    length = F.char_length("word")
-    places = words.withColumn("start", F.explode(F.sequence(F.lit(0), length - 1)))
-    spans = places.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), length - F.col("start")))))
-    edges = spans.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("size"))).join(
-        _pieces(words.sparkSession, vocabulary), "piece", "left").where("id IS NOT NULL OR size = 1")
-    edge = F.struct("start", (F.col("start") + F.col("size")).alias("end"), "id", "score")
-    return edges.groupBy(*keys, "word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-
-
-def _once(value: Column, body) -> Column:
-    """``body(value)``, the value computed once however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _ranked(edges: Column) -> Column:
-    """The edges of two or more characters as (rank, start, end): the order of merges is best score, then leftmost."""
-    long = F.filter(edges, lambda e: (e["end"] > e["start"] + 1) & e["id"].isNotNull())
-    return F.transform(long, lambda e: F.struct((-e["score"]).alias("rank"), e["start"].alias("start"), e["end"].alias("end")))
-
-
-def _fold_bpe(ranked: Column, length: Column) -> Column:
-    """Ends of the symbols: ``next[i]`` is the end of the symbol that starts at i, or 0 where none starts."""
-    def merge(ends, _):
-        def joins(e):
-            middle = F.get(ends, e["start"])  # cheaper read again than bound
-            return (middle > 0) & (middle < e["end"]) & (F.get(ends, middle) == e["end"])
-
-        def apply(best):
-            return _once(F.get(ends, best["start"]), lambda middle: F.transform(ends, lambda x, i: F.when(
-                i == best["start"], best["end"]).when(i == middle, F.lit(0)).otherwise(x)))
-
-        return _once(F.array_min(F.filter(ranked, joins)), lambda best: F.when(best.isNull(), ends).otherwise(apply(best)))
-
-    single = F.sequence(F.lit(1), length)
-    # No more merges than characters less one, nor than edges.
-    steps = F.least(length - 1, F.size(ranked))
-    return F.when(steps < 1, single).otherwise(F.aggregate(F.sequence(F.lit(1), steps), single, merge))
-
-
-def _fold_viterbi(edges: Column, length: Column, unknown: float) -> Column:
-    """Ends of the symbols on the best path, as ``_fold_bpe`` gives them."""
-    # best[i]: score of the best path to i and the start of its last symbol.
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back")))
-
-    def step(best, end):
-        into = F.filter(edges, lambda e: e["end"] == end)
-        paths = F.transform(into, lambda e: F.struct(
-            (F.get(best, e["start"])["score"] + F.coalesce(e["score"], F.lit(unknown))).alias("score"),
-            e["start"].alias("back")))
-        return F.concat(best, F.array(F.array_max(paths)))
-
-    best = F.aggregate(F.sequence(F.lit(1), length), start, step)
-    nothing = F.struct(F.transform(F.sequence(F.lit(1), length), lambda _: F.lit(0)).alias("ends"), length.alias("at"))
-
-    def walk(state, _):
-        back = F.get(best, state["at"])["back"]
-        return F.when(state["at"] <= 0, state).otherwise(F.struct(
-            F.transform(state["ends"], lambda x, i: F.when(i == back, state["at"]).otherwise(x)).alias("ends"),
-            back.alias("at")))
-
-    return F.aggregate(F.sequence(F.lit(1), length), nothing, walk)["ends"]
+    symbols = list(word)
+    if len(symbols) >= LONG_WORD:
+        return _fold_long_bpe(symbols, ranks)
+    never, rank = math.inf, ranks.get
+    edges = [rank(word[k:k + 2], never) for k in range(len(word) - 1)]
+    while edges and (best := min(edges)) < never:
+        at = edges.index(best)
+        joined = symbols[at] = symbols[at] + symbols.pop(at + 1)
+        del edges[at]
+        if at:
+            edges[at - 1] = rank(symbols[at - 1] + joined, never)
+        if at < len(edges):
+            edges[at] = rank(joined + symbols[at + 1], never)
+    return symbols
+
+
+def _fold_long_bpe(symbols: list[str], ranks: dict) -> list[str]:
+    """The same for words of any length: a heap of edges instead of a look through all of them for every merge."""
+    n = len(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap: list = []
+
+    def offer(left):
+        right = after[left] if left >= 0 else n
+        if right < n and (joined := symbols[left] + symbols[right]) in ranks:
+            heapq.heappush(heap, (ranks[joined], left, joined))
+
+    for k in range(n - 1):
+        offer(k)
+    while heap:
+        _, left, joined = heapq.heappop(heap)
+        right = after[left]
+        # An edge is stale once one of its two symbols has grown or gone.
+        if right >= n or not symbols[left] or symbols[left] + symbols[right] != joined:
+            continue
+        symbols[left], symbols[right] = joined, ""
+        after[left] = after[right]
+        if after[left] < n:
+            before[after[left]] = left
+        offer(before[left])
+        offer(left)
+    return [x for x in symbols if x]
+
+
+def _fold_viterbi(word: str, scores: dict, longest: int, unknown: float) -> list[str]:
+    """The symbols of a word on the path of the best score; among equals the shortest last symbol."""
+    best = [(0.0, 0)]
+    for end in range(1, len(word) + 1):
+        paths = []
+        for start in range(max(0, end - longest), end):
+            score = scores.get(word[start:end], unknown if start == end - 1 else None)
+            if score is not None:
+                paths.append((best[start][0] + score, start))
+        best.append(max(paths))
+    symbols, end = [], len(word)
+    while end:
+        start = best[end][1]
+        symbols.append(word[start:end])
+        end = start
+    return symbols[::-1]
+
+
+class Remembered(dict):
+    """``make`` of a word, made once; forgets all when ``REMEMBERED`` words are held."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str):
+        value = self.make(word)
+        if len(word) < LONG_WORD:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = value
+        return value
+
+
+def word_ids(vocabulary: Vocabulary) -> Remembered:
+    """Word to its ids, four bytes each.
+
+    A BPE word is cut first between neighbours that stand together in no piece:
+    no merge crosses there, and the parts of unlike words are often alike.
+    """
+    numbers = {p: number for p, number, _ in vocabulary.pieces}
+    scores = {p: score for p, _, score in vocabulary.pieces}
+    ranks = {p: -score for p, _, score in vocabulary.pieces if len(p) > 1}
+    neighbours = {p[k:k + 2] for p in ranks for k in range(len(p) - 1)}
+    longest, bpe = vocabulary.longest, vocabulary.kind == "bpe"
 
+    def fold(word: str) -> bytes:
+        ids = array("i")
+        for symbol in _fold_bpe(word, ranks) if bpe else _fold_viterbi(word, scores, longest, vocabulary.unknown):
+            if symbol in numbers:
+                ids.append(numbers[symbol])
+            else:
+                ids.extend([vocabulary.byte_ids[b] for b in symbol.encode()])
+        return ids.tobytes()
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary, keys: list[str]) -> DataFrame:
-    """(keys, word, ids) of distinct non-empty words."""
-    # Columns of their own, so that a fold does not compute them at every step.
-    lattice = lattices(words, vocabulary, keys).withColumns({"ranked": _ranked(F.col("edges")), "length": F.char_length("word")})
-    length = F.col("length")
-    ends = (_fold_bpe(F.col("ranked"), length) if vocabulary.kind == "bpe"
-            else _fold_viterbi(F.col("edges"), length, vocabulary.unknown))
-    # A symbol's id; a character without a piece keeps its place as NULL and becomes bytes.
-    spans = F.filter(F.transform(F.col("ends"), lambda e, s: F.struct(s.alias("start"), e.alias("end"))), lambda x: x["end"] > 0)
-    found = F.transform(spans, lambda x: F.struct(
-        F.get(F.filter("edges", lambda e: (e["start"] == x["start"]) & (e["end"] == x["end"])), F.lit(0))["id"].alias("id"),
-        x["start"].alias("start")))
-    byte_ids = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
+    parts = Remembered(fold)
 
-    def as_bytes(character):
-        code = F.hex(F.encode(character, "UTF-8"))
-        return F.transform(F.sequence(F.lit(0), (F.length(code) / 2).cast("int") - 1), lambda k: F.get(
-            byte_ids, F.conv(F.substring(code, k * 2 + 1, F.lit(2)), 16, 10).cast("int")))
+    def cut(word: str) -> bytes:
+        places = [k for k in range(1, len(word)) if word[k - 1:k + 1] not in neighbours]
+        if not places:
+            return parts[word]
+        return b"".join([parts[word[a:b]] for a, b in zip([0, *places], [*places, len(word)])])
 
-    ids = F.flatten(F.transform("found", lambda x: F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(
-        as_bytes(F.substring("word", x["start"] + 1, F.lit(1))))))
-    return (lattice.withColumn("ends", ends).withColumn("found", found).select(*keys, "word", ids.alias("ids")))
+    return Remembered(cut) if bpe else parts
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, ids, one row per input row; NULL and empty texts have no ids; NULL and repeated ids keep their rows.
 
-    Blocks are dealt by row number, so no key, however frequent, gathers in one.
+    Row-local.  ``block_rows`` documents are put together at once.
     """
-    blocks = max(1, math.ceil(docs.count() / block_rows))
-    dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int").alias("block")).repartition(blocks, "block")
-    # The empty piece of the id makes both readers want the same columns, so that they share one shuffle.
-    nothing = F.coalesce(F.substring(F.col("doc_id").cast("string"), 1, 0), F.lit(""))
-    words = dealt.select("block", F.explode(word_column(F.concat("text", nothing))).alias("word")).distinct()
-    known = encode_words(words, vocabulary, ["block"]).withColumnRenamed("block", "of_block")
-
-    def assemble(_, texts, table):
+    def run(batches):
         import pyarrow as pa
 
-        ids = dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist()))
-        out = []
-        for text in texts.column("text").to_pylist():
-            row: list[int] = []
-            for word in words_of(text):
-                row += ids[word]
-            out.append(row)
-        return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.array(out, pa.list_(pa.int32()))})
+        known = word_ids(vocabulary).__getitem__
+        for batch in batches:
+            for at in range(0, batch.num_rows, block_rows):
+                part = batch.slice(at, block_rows)
+                rows = [b"".join(map(known, words_of(text or ""))) for text in part.column("text").to_pylist()]
+                ends = pa.array([0, *accumulate(len(row) // 4 for row in rows)], pa.int32())
+                joined = b"".join(rows)
+                ids = pa.ListArray.from_arrays(ends, pa.Array.from_buffers(
+                    pa.int32(), len(joined) // 4, [None, pa.py_buffer(joined)]))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, ids array<int>")
+
+
+class PieceTexts(dict):
+    """Id to its bytes; the replacement character for ids outside the vocabulary."""
 
-    return dealt.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(assemble, "doc_id long, ids array<int>")
+    def __missing__(self, number):
+        return b"\xef\xbf\xbd"
 
 
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -227,15 +242,15 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        known = dict(enumerate(texts))
+        piece = PieceTexts(enumerate(texts)).__getitem__
         for batch in batches:
-            out = []
-            for ids in batch.column("ids").to_pylist():
-                raw = b"".join([known.get(i, b"\xef\xbf\xbd") for i in ids or []])
-                text = raw.decode("utf-8", "replace").replace(MARK, " ")
-                out.append(text[1:] if text.startswith(" ") else text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.string())],
-                                             names=["doc_id", "ids", "text"])
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part, out = batch.slice(at, BLOCK_ROWS), []
+                for ids in part.column("ids").to_pylist():
+                    text = b"".join(map(piece, ids or [])).decode("utf-8", "replace").replace(MARK, " ")
+                    out.append(text[1:] if text.startswith(" ") else text)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(out, pa.string())],
+                                                 names=["doc_id", "ids", "text"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 

@@ -334,3 +334,14 @@ def test_viterbi_equals_the_library(spark, vocabulary):
     for k, text in enumerate(texts):
         total = lambda ids: sum(scores.get(library.id_to_piece(i), 0.0) for i in ids)
         assert abs(total(got[k]) - total(library.encode(text))) < 1e-3 and library.decode(got[k]) == text
+
+
+def test_pieces_of_long_words_equal_the_library_and_no_document_is_shuffled(spark, vocabulary):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=lattice.vocabulary_path())
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdeインt▁ñ") for _ in range(n)) for n in (63, 64, 65, 3000)] + ["the" * 5000, "日本" * 2000]
+    encoded = lattice.encode_documents(table(spark, list(enumerate(texts))).coalesce(2), vocabulary)
+    assert "Exchange" not in encoded._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: list(r.ids) for r in encoded.collect()} == {k: library.encode(t) for k, t in enumerate(texts)}
