@@ -58,9 +58,9 @@ def ml_preprocess(spark, sf):
 
 @query("ml_linear")
 def ml_linear(spark, sf):
-    df = frame(spark, sf)
-    model = learning.fit_on(_prepared(spark, sf), learning.regressors()["linear"])
-    return learning.predict(model, df).select("movie_id", "split", "revenue", "predicted")
+    prepared = _prepared(spark, sf)
+    model = learning.fit_on(prepared, learning.regressors()["linear"])
+    return learning.predict(model, prepared).select("movie_id", "split", "revenue", "predicted")
 
 
 @query("ml_random_forest")
@@ -109,13 +109,13 @@ def ml_importance(spark, sf):
 
 @query("ml_save_load")
 def ml_save_load(spark, sf):
-    df = frame(spark, sf)
+    prepared = _prepared(spark, sf)
     path = scratch_path(spark, "model")
-    model = learning.fit(df, learning.regressors()["linear"])
+    model = learning.fit_on(prepared, learning.regressors()["linear"])
     learning.save(model, path)
     absent = learning.load(scratch_path(spark, "no-model")) is None
-    again = learning.predict(learning.load(path), df).select("movie_id", c("predicted").alias("reloaded"))
-    first = learning.predict(model, df).select("movie_id", "predicted")
+    again = learning.predict(learning.load(path), frame(spark, sf)).select("movie_id", c("predicted").alias("reloaded"))
+    first = learning.predict(model, prepared).select("movie_id", "predicted")
     return first.join(again, "movie_id").agg(
         F.count("*").alias("rows"), F.count_if(c("predicted") == c("reloaded")).alias("equal_rows"),
         F.lit(absent).alias("missing_model_is_none"))

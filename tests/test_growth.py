@@ -60,3 +60,15 @@ def test_prepared_rows_hold_features_only(spark, sf):
     ready = learning.prepare(df).ready
     assert sorted(ready.columns) == sorted([*df.columns, "features"])
     assert ready.where("features IS NULL").isEmpty()
+
+
+def test_prepared_rows_are_predicted_without_their_text_again(spark, sf):
+    df = learning.with_split(bindings.facts(spark, sf))
+    prepared = learning.prepare(df)
+    model = learning.fit_on(prepared, learning.regressors()["linear"])
+    ready = learning.predict(model, prepared)
+    # The features are read as they were written.
+    assert "words_all" not in ready.columns and sorted(ready.columns) == sorted([*df.columns, "features", "predicted"])
+    raw = {(r.movie_id, r.split, r.predicted) for r in learning.predict(model, df).select(
+        "movie_id", "split", "predicted").collect()}
+    assert {(r.movie_id, r.split, r.predicted) for r in ready.select("movie_id", "split", "predicted").collect()} == raw
